@@ -4,47 +4,53 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Table layouts. Names, types and order are the public contract of each table.
+STRING, LONG, INT, DOUBLE = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType()
+BOOLEAN, BINARY, INSTANT = T.BooleanType(), T.BinaryType(), T.TimestampType()
 
-REFERENCE_SCHEMA = T.StructType.fromDDL(
-    """
-    farm_id STRING, zone_id STRING, location STRING, state STRING, timezone STRING, crop_type STRING,
-    ph_min DOUBLE, ph_max DOUBLE,
-    ec_min_ms_cm DOUBLE, ec_max_ms_cm DOUBLE,
-    water_temp_min_c DOUBLE, water_temp_max_c DOUBLE,
-    humidity_min_pct DOUBLE, humidity_max_pct DOUBLE,
-    do_min_mg_l DOUBLE,
-    water_level_min_cm DOUBLE, water_level_max_cm DOUBLE,
-    active_flag BOOLEAN
-    """
-)
 
-EVENT_SCHEMA = T.StructType.fromDDL(
-    """
-    event_id STRING, event_type STRING, schema_version STRING,
-    farm_id STRING, zone_id STRING, device_id STRING, seq_num BIGINT, timestamp STRING,
-    ph DOUBLE, ec_ms_cm DOUBLE, tds_ppm DOUBLE,
-    water_level_cm DOUBLE, water_temp_c DOUBLE, dissolved_oxygen_mg_l DOUBLE,
-    ambient_temp_c DOUBLE, humidity_pct DOUBLE, co2_ppm DOUBLE,
-    battery_voltage DOUBLE,
-    device_status STRING, controller_mode STRING,
-    is_ph_reducer_on BOOLEAN, is_ph_increaser_on BOOLEAN, is_water_refill_on BOOLEAN,
-    is_nutrient_pump_on BOOLEAN, is_humidifier_on BOOLEAN, is_exhaust_fan_on BOOLEAN, is_aerator_on BOOLEAN
-    """
-)
+def _schema(columns: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+# Table layouts. Names, types and order are the public contract of each table.
+
+REFERENCE_SCHEMA = _schema({
+    "farm_id": STRING, "zone_id": STRING,
+    "location": STRING, "state": STRING, "timezone": STRING, "crop_type": STRING,
+    "ph_min": DOUBLE, "ph_max": DOUBLE,
+    "ec_min_ms_cm": DOUBLE, "ec_max_ms_cm": DOUBLE,
+    "water_temp_min_c": DOUBLE, "water_temp_max_c": DOUBLE,
+    "humidity_min_pct": DOUBLE, "humidity_max_pct": DOUBLE,
+    "do_min_mg_l": DOUBLE,
+    "water_level_min_cm": DOUBLE, "water_level_max_cm": DOUBLE,
+    "active_flag": BOOLEAN,
+})
+
+EVENT_SCHEMA = _schema({
+    "event_id": STRING, "event_type": STRING, "schema_version": STRING,
+    "farm_id": STRING, "zone_id": STRING, "device_id": STRING, "seq_num": LONG, "timestamp": STRING,
+    "ph": DOUBLE, "ec_ms_cm": DOUBLE, "tds_ppm": DOUBLE,
+    "water_level_cm": DOUBLE, "water_temp_c": DOUBLE, "dissolved_oxygen_mg_l": DOUBLE,
+    "ambient_temp_c": DOUBLE, "humidity_pct": DOUBLE, "co2_ppm": DOUBLE,
+    "battery_voltage": DOUBLE,
+    "device_status": STRING, "controller_mode": STRING,
+    "is_ph_reducer_on": BOOLEAN, "is_ph_increaser_on": BOOLEAN, "is_water_refill_on": BOOLEAN,
+    "is_nutrient_pump_on": BOOLEAN, "is_humidifier_on": BOOLEAN, "is_exhaust_fan_on": BOOLEAN,
+    "is_aerator_on": BOOLEAN,
+})
 
 # What an event source delivers; the names are those of Spark's Kafka source.
-ENVELOPE_SCHEMA = T.StructType.fromDDL("value BINARY, partition INT, offset BIGINT, timestamp TIMESTAMP")
+ENVELOPE_SCHEMA = _schema({"value": BINARY, "partition": INT, "offset": LONG, "timestamp": INSTANT})
 
 LINEAGE_COLUMNS = ("eventhub_partition", "eventhub_offset", "eventhub_enqueued_time")
 
-BRONZE_SCHEMA = T.StructType(
-    EVENT_SCHEMA.fields
-    + T.StructType.fromDDL(
-        "eventhub_partition INT, eventhub_offset BIGINT, eventhub_enqueued_time TIMESTAMP, "
-        "raw_payload STRING, bronze_ingestion_time TIMESTAMP"
-    ).fields
-)
+BRONZE_SCHEMA = T.StructType([
+    *EVENT_SCHEMA.fields,
+    *_schema({
+        "eventhub_partition": INT, "eventhub_offset": LONG, "eventhub_enqueued_time": INSTANT,
+        "raw_payload": STRING, "bronze_ingestion_time": INSTANT,
+    }).fields,
+])
 
 THRESHOLD_COLUMNS = (
     "ph_min", "ph_max", "ec_min_ms_cm", "ec_max_ms_cm", "water_temp_min_c", "water_temp_max_c",
