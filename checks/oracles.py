@@ -290,11 +290,13 @@ ORACLES = {
         FROM (SELECT *, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS previous_seq_num
           FROM orders)""",
     "sequence_lineitem": """
-        SELECT l_suppkey, l_orderkey, l_linenumber, previous_seq_num,
+        SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity, l_shipdate,
+          previous_seq_num,
           CASE WHEN l_orderkey > previous_seq_num + 1 THEN l_orderkey - previous_seq_num - 1 ELSE 0 END
             AS missing_packet_count,
           coalesce(l_orderkey > previous_seq_num + 1, false) AS has_sequence_gap
-        FROM (SELECT *, lag(l_orderkey) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber)
+        FROM (SELECT *, lag(l_orderkey) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber,
+          l_partkey, l_extendedprice, l_quantity, l_shipdate)
           AS previous_seq_num FROM lineitem)""",
     "sequence_totals": chained(
         "SELECT count(*) FILTER (WHERE has_sequence_gap) AS gap_count, "

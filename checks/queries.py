@@ -202,14 +202,15 @@ def sequence(spark, sf_dir):
 @registered
 def sequence_orders(spark, sf_dir):
     orders = load(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
-    counted = previous_seq(orders, ["o_custkey"], "o_orderkey", tie=["o_orderkey"])
+    counted = previous_seq(orders, ["o_custkey"], "o_orderkey", ["o_orderkey"])
     return missing_packets(counted, "o_orderkey")
 
 
 @registered
 def sequence_lineitem(spark, sf_dir):
-    lines = load(spark, sf_dir, "lineitem").select("l_suppkey", "l_orderkey", "l_linenumber")
-    counted = previous_seq(lines, ["l_suppkey"], "l_orderkey", tie=["l_linenumber"])
+    row_id = ["l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity", "l_shipdate"]
+    lines = load(spark, sf_dir, "lineitem").select("l_suppkey", *row_id)
+    counted = previous_seq(lines, ["l_suppkey"], "l_orderkey", row_id)
     return missing_packets(counted, "l_orderkey")
 
 

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
-from operator import add, and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,37 +12,31 @@ from fieldgauge.config import MISSING_REQUIRED_FIELD, Limit, Metric
 
 def all_present(columns: Iterable[str]) -> Column:
     """True when none of the columns is NULL."""
-    return reduce(and_, [F.col(c).isNotNull() for c in columns])
+    return F.expr(" AND ".join(f"{c} IS NOT NULL" for c in columns))
 
 
 def within(limit: Limit) -> Column:
     """Closed physical range; NULL for a NULL reading, false for NaN."""
-    return F.col(limit.value).between(limit.lo, limit.hi)
+    return F.expr(f"{limit.value} BETWEEN {limit.lo}D AND {limit.hi}D")
 
 
 def first_error(required_flag: str, limits: Sequence[Limit]) -> Column:
     """Code of the first broken rule: missing fields first, then the limits in their order."""
-    code = F.when(~F.col(required_flag), MISSING_REQUIRED_FIELD)
-    for limit in limits:
-        code = code.when(~F.col(limit.flag), limit.error)
-    return code
+    rules = [(required_flag, MISSING_REQUIRED_FIELD), *[(limit.flag, limit.error) for limit in limits]]
+    return F.expr("CASE " + " ".join(f"WHEN NOT {flag} THEN '{code}'" for flag, code in rules) + " END")
 
 
 def range_status(value: str, lo: str, hi: str) -> Column:
     """LOW / NORMAL / HIGH against two inclusive bounds, UNKNOWN if a bound is missing."""
-    v, low, high = F.col(value), F.col(lo), F.col(hi)
-    return (
-        F.when(low.isNull() | high.isNull(), "UNKNOWN")
-        .when(v < low, "LOW")
-        .when(v > high, "HIGH")
-        .otherwise("NORMAL")
+    return F.expr(
+        f"CASE WHEN {lo} IS NULL OR {hi} IS NULL THEN 'UNKNOWN' "
+        f"WHEN {value} < {lo} THEN 'LOW' WHEN {value} > {hi} THEN 'HIGH' ELSE 'NORMAL' END"
     )
 
 
 def minimum_status(value: str, lo: str) -> Column:
     """LOW / NORMAL against a lower bound, UNKNOWN if it is missing."""
-    v, low = F.col(value), F.col(lo)
-    return F.when(low.isNull(), "UNKNOWN").when(v < low, "LOW").otherwise("NORMAL")
+    return F.expr(f"CASE WHEN {lo} IS NULL THEN 'UNKNOWN' WHEN {value} < {lo} THEN 'LOW' ELSE 'NORMAL' END")
 
 
 def metric_status(metric: Metric) -> Column:
@@ -53,31 +45,22 @@ def metric_status(metric: Metric) -> Column:
     return range_status(metric.value, metric.lo, metric.hi)
 
 
-def is_abnormal(status: str | Column) -> Column:
-    column = F.col(status) if isinstance(status, str) else status
-    return column.isin("LOW", "HIGH")
-
-
 def count_abnormal(statuses: Iterable[str]) -> Column:
     """How many of the status columns are LOW or HIGH."""
-    return reduce(add, [F.when(is_abnormal(s), 1).otherwise(0) for s in statuses])
+    return F.expr(" + ".join(f"CASE WHEN {s} IN ('LOW', 'HIGH') THEN 1 ELSE 0 END" for s in statuses))
 
 
 def severity(matched: str, anomalies: str) -> Column:
-    n = F.col(anomalies)
-    return (
-        F.when(~F.col(matched), "UNKNOWN")
-        .when(n >= 3, "HIGH").when(n == 2, "MEDIUM").when(n == 1, "LOW")
-        .otherwise("NONE")
+    return F.expr(
+        f"CASE WHEN NOT {matched} THEN 'UNKNOWN' WHEN {anomalies} >= 3 THEN 'HIGH' "
+        f"WHEN {anomalies} = 2 THEN 'MEDIUM' WHEN {anomalies} = 1 THEN 'LOW' ELSE 'NONE' END"
     )
 
 
 def overall_status(matched: str, anomalies: str) -> Column:
-    n = F.col(anomalies)
-    return (
-        F.when(~F.col(matched), "UNKNOWN")
-        .when(n >= 3, "CRITICAL").when(n >= 1, "ATTENTION")
-        .otherwise("HEALTHY")
+    return F.expr(
+        f"CASE WHEN NOT {matched} THEN 'UNKNOWN' WHEN {anomalies} >= 3 THEN 'CRITICAL' "
+        f"WHEN {anomalies} >= 1 THEN 'ATTENTION' ELSE 'HEALTHY' END"
     )
 
 
@@ -101,22 +84,26 @@ def local_date(instant: str, zone: str) -> Column:
     return F.to_date(local_time(instant, zone))
 
 
-def duty_cycle_pct(flag: str) -> Column:
-    """Share of readings with the flag on, in percent; NULL flags are left out."""
-    return F.avg(F.col(flag).cast("int")) * 100
-
-
-def percent(part: Column, whole: Column) -> Column:
-    return F.round(part / whole * 100, 2)
-
-
-def settled(value: Column, digits: int = 2) -> Column:
+def settled(text: str, digits: int = 2) -> Column:
     """Round a distributed average so that the order of its partial sums cannot show.
 
     Partial sums meet in any order, which moves the last bits of a double. Rounding to nine
     digits first takes that noise away, so a value lying on a rounding edge always goes up.
     """
-    return F.round(F.round(value, 9), digits)
+    return F.expr(f"round(round({text}, 9), {digits})")
+
+
+def settled_average(value: str) -> Column:
+    return settled(f"avg({value})")
+
+
+def duty_cycle_pct(flag: str) -> Column:
+    """Share of readings with the flag on, in percent; NULL flags are left out."""
+    return settled(f"avg(CAST({flag} AS INT)) * 100")
+
+
+def percent(part: str, whole: str) -> Column:
+    return F.expr(f"round({part} / {whole} * 100, 2)")
 
 
 def alert_key(columns: Sequence[str]) -> Column:

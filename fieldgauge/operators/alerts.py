@@ -19,26 +19,22 @@ REFRESHED = (
 )
 
 
-def _condition(metric: Metric) -> Column:
-    status = F.col(metric.status)
-    high = F.col(metric.hi) if metric.hi else F.lit(None).cast("double")
-    return F.struct(
-        F.concat(F.lit(f"{metric.alert_prefix}_"), status).alias("alert_type"),
-        F.col(metric.value).alias("current_value"),
-        F.col(metric.lo).alias("min_threshold"),
-        high.alias("max_threshold"),
-        # A metric without upper bound can only be low.
-        (status if metric.hi else F.when(status == "LOW", status)).alias("metric_status"),
+def _condition(metric: Metric) -> str:
+    # A metric without upper bound can only be low.
+    status = metric.status if metric.hi else f"CASE WHEN {metric.status} = 'LOW' THEN {metric.status} END"
+    return (
+        f"named_struct('alert_type', concat('{metric.alert_prefix}_', {metric.status}), "
+        f"'current_value', {metric.value}, 'min_threshold', {metric.lo}, "
+        f"'max_threshold', {metric.hi or 'CAST(NULL AS DOUBLE)'}, 'metric_status', {status})"
     )
 
 
 def current_alert_conditions(current: DataFrame, metrics: Sequence[Metric] = METRICS) -> DataFrame:
     """One row per abnormal metric of each current state, from a single scan."""
-    conditions = F.filter(
-        F.array(*[_condition(m) for m in metrics]), lambda c: X.is_abnormal(c.getField("metric_status"))
-    )
+    every = ", ".join(_condition(m) for m in metrics)
+    abnormal = f"inline(filter(array({every}), c -> c.metric_status IN ('LOW', 'HIGH')))"
     return current.select(
-        *ALERT_DIMENSIONS, "severity", F.col("last_reading_at").alias("detected_at"), F.inline(conditions)
+        *ALERT_DIMENSIONS, "severity", F.col("last_reading_at").alias("detected_at"), F.expr(abnormal)
     ).select(
         *ALERT_DIMENSIONS,
         "alert_type", "current_value", "min_threshold", "max_threshold", "metric_status", "severity", "detected_at",

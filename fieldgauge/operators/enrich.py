@@ -33,12 +33,18 @@ def enrich(
 ) -> DataFrame:
     """Left join facts to a dimension; facts keep their number because the keys must be unique.
 
-    A dimension above ``broadcast_rows`` is joined by shuffle, where adaptive execution splits
-    hot keys on the fact side.
+    One job over the key columns of the dimension proves the keys unique and counts its rows. Up to
+    ``broadcast_rows`` it is broadcast; above, the join shuffles and adaptive execution splits hot
+    keys on the fact side.
     """
-    if check_unique:
+    if not check_unique:
+        return facts.join(bounded_broadcast(dimension, broadcast_rows), list(keys), "left")
+    per_key = dimension.groupBy(*keys).agg(F.count("*").alias("n"))
+    rows, largest = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)), F.max("n")).first()
+    if largest and largest > 1:
         assert_unique(dimension, keys, "the dimension")
-    return facts.join(bounded_broadcast(dimension, broadcast_rows), list(keys), "left")
+    known = F.broadcast(dimension) if rows <= broadcast_rows else dimension
+    return facts.join(known, list(keys), "left")
 
 
 def flag_matched(df: DataFrame, witness: str = "crop_type") -> DataFrame:

@@ -29,24 +29,24 @@ def daily_kpi(silver: DataFrame, now: Column, drop_null_date: bool = False) -> D
         local_day(silver)
         .groupBy(*KPI_GROUP_COLUMNS)
         .agg(
-            F.count("*").alias("reading_count"),
-            F.sum(F.col("is_anomaly").cast("int")).alias("anomaly_reading_count"),
-            F.try_sum("missing_packet_count").alias("missing_packet_count"),
-            *[X.settled(F.avg(source)).alias(name) for name, source in KPI_AVERAGES.items()],
-            *[X.settled(X.duty_cycle_pct(flag)).alias(name) for name, flag in KPI_DUTY_CYCLES.items()],
+            F.expr("count(*) AS reading_count"),
+            F.expr("sum(CAST(is_anomaly AS INT)) AS anomaly_reading_count"),
+            F.expr("try_sum(missing_packet_count) AS missing_packet_count"),
+            *[X.settled_average(value).alias(name) for name, value in KPI_AVERAGES.items()],
+            *[X.duty_cycle_pct(flag).alias(name) for name, flag in KPI_DUTY_CYCLES.items()],
             F.min(LOCAL_TIME).alias("first_reading_at"),
             F.max(LOCAL_TIME).alias("last_reading_at"),
         )
     )
     if drop_null_date:
-        grouped = grouped.filter(F.col("kpi_date").isNotNull())
-    readings, missing = F.col("reading_count"), F.col("missing_packet_count")
+        grouped = grouped.filter("kpi_date IS NOT NULL")
+    sent = "try_add(reading_count, missing_packet_count)"
     return (
-        grouped.withColumn("anomaly_rate_pct", X.percent(F.col("anomaly_reading_count"), readings))
+        grouped.withColumn("anomaly_rate_pct", X.percent("anomaly_reading_count", "reading_count"))
         .withColumns(
             {
-                "health_score": F.round(F.greatest(F.lit(0.0), 100.0 - F.col("anomaly_rate_pct")), 2),
-                "packet_gap_rate_pct": X.percent(missing, F.try_add(readings, missing)),
+                "health_score": F.expr("round(greatest(0D, 100D - anomaly_rate_pct), 2)"),
+                "packet_gap_rate_pct": X.percent("missing_packet_count", sent),
                 "gold_updated_at": now,
             }
         )

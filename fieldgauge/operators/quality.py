@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +29,7 @@ def validate(
     checked = df.withColumns(
         {REQUIRED_FLAG: X.all_present(required), **{lim.flag: flag for lim, flag in zip(limits, flags)}}
     )
-    valid = reduce(and_, [F.col(REQUIRED_FLAG), *[F.col(lim.flag) for lim in limits]])
+    valid = F.expr(" AND ".join([REQUIRED_FLAG, *[limit.flag for limit in limits]]))
     return checked.withColumns({VALID_FLAG: valid, ERROR: X.first_error(REQUIRED_FLAG, limits)})
 
 

@@ -21,24 +21,28 @@ def previous_seq(
     df: DataFrame,
     keys: Sequence[str] = DEVICE_KEYS,
     seq: str = "seq_num",
-    tie: Sequence[str] = EVENT_KEY,
+    row_id: Sequence[str] = EVENT_KEY,
     history: DataFrame | None = None,
     block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
     """Add the number before each row's own within its key, as ``lag`` over the whole key would.
 
     A plain window puts a whole device into one task, and one device may send a third of all rows.
-    So the numbers alone are first reduced to one row per distinct number (``tie`` says which of
-    several rows with that number follows the gap; the others follow each other), and then looked
-    at in blocks of 2**block_bits numbers, which bounds every window group. Only the two ends of
-    each block go on to a window over the whole key, which carries the number across blocks. The
-    result is joined back by key and number, a join that adaptive execution can split.
+    So only the numbers travel. They are reduced to one row per distinct number, on the map side
+    too; of several rows with one number the one with the smallest ``row_id`` follows the gap, and
+    the others follow it. Then they are looked at in blocks of 2**block_bits numbers, which bounds
+    every window group. Only the two ends of each block go on to a window over the whole key, which
+    carries the number across blocks.
 
-    ``history`` holds rows (same keys, seq and tie columns) that count as predecessors but are not
+    The result is joined back on ``row_id``, the columns that tell all rows apart. After a
+    ``dedup_first`` on the same columns the rows already lie in the right partitions, so the wide
+    rows are not shuffled again.
+
+    ``history`` holds rows (same key, number and id columns) that count as predecessors but are not
     returned.
     """
-    keys, tie = list(keys), list(tie)
-    narrow = [*keys, seq, *tie]
+    keys, row_id = list(keys), list(row_id)
+    narrow = list(dict.fromkeys([*keys, seq, *row_id]))
     numbers = df.select(*narrow)
     if history is not None:
         numbers = numbers.unionByName(history.select(*narrow))
@@ -46,36 +50,26 @@ def previous_seq(
     in_block = Window.partitionBy(*keys, "_block").orderBy(seq)
     in_key = Window.partitionBy(*keys).orderBy(seq)
     chained = (
-        first_by(numbers, [*keys, seq], tie)
+        first_by(numbers, [*keys, seq], row_id)
         .withColumn("_block", F.shiftright(F.col(seq).cast("long"), block_bits))
-        .withColumn("_before", F.lag(seq).over(in_block))
-        .withColumn("_after", F.lead(seq).over(in_block))
+        .withColumns({"_before": F.lag(seq).over(in_block), "_after": F.lead(seq).over(in_block)})
     )
-    inner = chained.filter(F.col("_before").isNotNull()).select(*narrow, "_before")
+    inner = chained.filter("_before IS NOT NULL").select(*row_id, "_before")
     edges = (
-        chained.filter(F.col("_before").isNull() | F.col("_after").isNull())
+        chained.filter("_before IS NULL OR _after IS NULL")
         .withColumn("_across", F.lag(seq).over(in_key))
-        .filter(F.col("_before").isNull())
-        .select(*narrow, F.col("_across").alias("_before"))
-    )
-    found = inner.unionByName(edges)
-
-    right = found.select(
-        *[F.col(c).alias(f"_r_{c}") for c in narrow], F.col("_before").alias("_r_before"), F.lit(True).alias("_r_hit")
+        .filter("_before IS NULL")
+        .select(*row_id, F.col("_across").alias("_before"))
     )
-    same_number = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in [*keys, seq]]
-    joined = df.join(right, same_number, "left")
-    leads = F.lit(True)
-    for c in tie:
-        leads = leads & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-    return joined.withColumn(PREVIOUS, F.when(leads, F.col("_r_before")).otherwise(F.col(seq))).drop(*right.columns)
+    leads = inner.unionByName(edges).withColumn("_leads", F.lit(True))
+    previous = F.expr(f"CASE WHEN _leads THEN _before ELSE {seq} END")
+    return df.join(leads, row_id, "left").withColumn(PREVIOUS, previous).drop("_before", "_leads")
 
 
 def missing_packets(df: DataFrame, seq: str = "seq_num") -> DataFrame:
     """Add how many numbers are missing before each row, and whether any are."""
-    gap = F.try_subtract(F.try_subtract(F.col(seq), F.col(PREVIOUS)), F.lit(1))
-    missing = F.when(gap > 0, gap).otherwise(F.lit(0)).cast("long")
-    return df.withColumn(MISSING, missing).withColumn(HAS_GAP, F.col(MISSING) > 0)
+    skipped = F.expr(f"CAST(greatest(coalesce(try_subtract(try_subtract({seq}, {PREVIOUS}), 1), 0), 0) AS BIGINT)")
+    return df.withColumn(MISSING, skipped).withColumn(HAS_GAP, F.col(MISSING) > 0)
 
 
 def gap_totals(df: DataFrame) -> DataFrame:
