@@ -80,13 +80,11 @@ def silver_increment(spark: SparkSession, lake: Lake, batch: DataFrame, now: Col
     insert_unseen(rejects, lake.invalid, lake.path(lake.invalid), OFFSET_KEYS)
 
 
-def silver_handler(
-    spark: SparkSession, lake: Lake, now: Column | None = None
-) -> Callable[[DataFrame, int], None]:
+def silver_handler(lake: Lake, now: Column | None = None) -> Callable[[DataFrame, int], None]:
     """Slice handler for ``streaming.ingest.for_each_run`` over the raw table."""
 
     def handle(batch: DataFrame, _: int) -> None:
-        silver_increment(spark, lake, batch, processing_time() if now is None else now)
+        silver_increment(batch.sparkSession, lake, batch, processing_time() if now is None else now)
 
     return handle
 
