@@ -29,7 +29,9 @@ def main() -> None:
     spark = build_session(
         "bench", f"local[{cpus}]",
         **{
+            # One partition per core; the data is far too small for Spark to choose their number.
             "spark.sql.shuffle.partitions": cpus if cpus.isdigit() else "8",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",

@@ -462,6 +462,7 @@ ORACLES = {
            UNION ALL
            SELECT 'third', 0, count(*) FROM t"""
     ),
+    "silver_in_slices": chained(f"SELECT {listed(SILVER_COLUMNS)} FROM silver"),
     "stages_over_tables": chained(
         """SELECT 'silver_iot_enriched' AS table_name, count(*) AS row_count FROM silver
            UNION ALL SELECT 'silver_invalid_records', count(*) FROM invalid

@@ -24,7 +24,9 @@ from fieldgauge.plans.stages import Lake, run_all
 from fieldgauge.session import cut_lineage, prepare, scratch_path
 from fieldgauge.sources import tables as sinks
 from fieldgauge.sources.readers import parse_json, read_event_stream, read_path, read_reference_csv, table, to_bronze
-from fieldgauge.streaming.ingest import ingest, rows_read
+from fieldgauge.sources.schemas import BRONZE_SCHEMA
+from fieldgauge.streaming.incremental import silver_handler
+from fieldgauge.streaming.ingest import for_each_run, ingest, rows_read
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -481,6 +483,13 @@ def newest_silver(spark, sf_dir):
     return listing.newest(_published(spark, sf_dir).select(*columns), 50, [F.desc("event_timestamp"), "event_id"])
 
 
+@registered
+def sample_silver(spark, sf_dir):
+    """Any twenty rows: the rows are not determined, so there is no SQL to compare with."""
+    columns = ["event_id", "farm_id", "zone_id", "device_id", "crop_type", "ph", "ph_min", "ph_max"]
+    return listing.sample(_published(spark, sf_dir).select(*columns), 20)
+
+
 # Audits
 
 
@@ -540,6 +549,26 @@ def stream_restart(spark, sf_dir):
     return spark.createDataFrame(counts, "run STRING, rows_read BIGINT, rows_in_table BIGINT")
 
 
+@registered
+def silver_in_slices(spark, sf_dir):
+    """Raw rows delivered in three parts; each stream run publishes what is new."""
+    tag = uuid.uuid4().hex
+    root = scratch_path(spark, "lake")
+    lake = Lake(root, *[f"{n}_{tag}" for n in ("master", "bronze", "silver", "invalid", "current", "alerts", "kpi")])
+    sinks.create_if_absent(reference(spark, sf_dir), lake.master, lake.path(lake.master))
+    raw, checkpoint = lake.path(lake.bronze), scratch_path(spark, "silver-progress")
+    rows = telemetry(spark, sf_dir)
+    for part in (
+        rows.filter("eventhub_enqueued_time < TIMESTAMP '2024-01-11'"),
+        rows.filter("eventhub_enqueued_time >= TIMESTAMP '2024-01-11' "
+                    "AND eventhub_enqueued_time < TIMESTAMP '2024-01-21'"),
+        rows.filter("eventhub_enqueued_time >= TIMESTAMP '2024-01-21'"),
+    ):
+        part.write.mode("append").parquet(raw)
+        for_each_run(spark.readStream.schema(BRONZE_SCHEMA).parquet(raw), checkpoint, silver_handler(lake, now()))
+    return table(spark, lake.silver)
+
+
 @registered
 def stages_over_tables(spark, sf_dir):
     """All stages over catalog tables, twice: the second run adds no rows."""

@@ -63,13 +63,17 @@ def open_alerts(current: DataFrame, now: Column) -> DataFrame:
     return alert_identity(current_alert_conditions(current), now)
 
 
+def refreshed(now: Column) -> dict[str, Column | None]:
+    """Columns a new sighting sets; None stands for the sighting's own value."""
+    return {**{c: None for c in REFRESHED}, "gold_updated_at": now}
+
+
+def closed(now: Column) -> dict[str, Column]:
+    """Columns the end of an episode sets."""
+    return {"alert_status": F.lit(RESOLVED), "resolved_at": now, "gold_updated_at": now}
+
+
 def alert_lifecycle(target: DataFrame, sightings: DataFrame, now: Column) -> DataFrame:
     """Refresh episodes seen again, open new ones, resolve those no longer seen."""
-    return merge_episodes(
-        target,
-        sightings,
-        key=ALERT_KEY,
-        is_open=F.col("alert_status") == ACTIVE,
-        refresh={**{c: None for c in REFRESHED}, "gold_updated_at": now},
-        close={"alert_status": F.lit(RESOLVED), "resolved_at": now, "gold_updated_at": now},
-    )
+    is_open = F.col("alert_status") == ACTIVE
+    return merge_episodes(target, sightings, ALERT_KEY, is_open, refreshed(now), closed(now))

@@ -8,9 +8,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldgauge.config import EVENT_KEY, KPI_KEYS, OFFSET_KEYS, ZONE_KEYS
+from fieldgauge.config import ACTIVE, ALERT_KEY, EVENT_KEY, KPI_KEYS, OFFSET_KEYS, ZONE_KEYS
 from fieldgauge.operators import merge
-from fieldgauge.operators.alerts import alert_lifecycle, open_alerts
+from fieldgauge.operators.alerts import alert_lifecycle, closed, open_alerts, refreshed
 from fieldgauge.operators.audit import validation_report
 from fieldgauge.operators.current import current_status
 from fieldgauge.operators.grouping import assert_unique
@@ -93,10 +93,15 @@ def run_current(spark: SparkSession, lake: Lake, now: Column | None = None) -> N
 def run_alerts(spark: SparkSession, lake: Lake, now: Column | None = None) -> None:
     now = processing_time() if now is None else now
     sightings = cut_lineage(open_alerts(table(spark, lake.current), now))
-    assert_unique(sightings, ["alert_key"], "the current alert conditions")
+    assert_unique(sightings, [ALERT_KEY], "the current alert conditions")
     if not table_exists(spark, lake.alerts):
         sinks.publish_snapshot(sightings, lake.alerts, lake.path(lake.alerts))
         return
+    if sinks.supports_merge(spark, lake.alerts):
+        sinks.merge_episodes_into(
+            sightings, lake.alerts, ALERT_KEY, "alert_status", ACTIVE, refreshed(now), closed(now)
+        )
+        return
     merged = alert_lifecycle(table(spark, lake.alerts), sightings, now)
     sinks.publish_snapshot(merged, lake.alerts, lake.path(lake.alerts))
 

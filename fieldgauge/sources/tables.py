@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldgauge.operators.merge import key_condition
@@ -80,3 +80,21 @@ def merge_upsert_into(df: DataFrame, name: str, keys: Sequence[str]) -> None:
     source = df.alias("source")
     condition = key_condition(keys, name.split(".")[-1], "source")
     source.mergeInto(name, condition).whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
+def merge_episodes_into(
+    df: DataFrame, name: str, key: str, status: str, open_value: str,
+    refresh: Mapping[str, Column | None], close: Mapping[str, Column],
+) -> None:
+    """Three-way merge of sightings by the table format itself."""
+    target = name.split(".")[-1]
+    is_open = F.col(f"{target}.{status}") == open_value
+    renewed = {c: F.col(f"source.{c}") if given is None else given for c, given in refresh.items()}
+    (
+        df.alias("source")
+        .mergeInto(name, key_condition([key], target, "source") & is_open)
+        .whenMatched().update(renewed)
+        .whenNotMatched().insertAll()
+        .whenNotMatchedBySource(is_open).update(dict(close))
+        .merge()
+    )
