@@ -57,11 +57,12 @@ def build_silver(
 ) -> Silver:
     """validate -> dedup -> sequence -> enrich -> grade -> publish or quarantine.
 
-    ``cut`` is called where two branches read the same rows; ``session.cut_lineage`` there keeps
-    the shuffles before it from running once per branch.
+    ``cut`` is called on the graded rows, which both outputs read; ``session.cut_lineage`` there
+    keeps the shuffles before it from running once per output. The deduplicated rows are left
+    lazy: their second reader needs five columns only, which is less work than writing them all.
     """
     validated = validate(bronze, strict=strict)
     valid, invalid = split_valid(validated)
-    deduplicated = cut(dedup_first(valid))
+    deduplicated = dedup_first(valid)
     graded = cut(graded_readings(sequenced(deduplicated), master, check_unique))
     return Silver(validated, deduplicated, graded, publishable(graded, now), quarantine(invalid, graded, now))

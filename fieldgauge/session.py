@@ -53,8 +53,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: later stages restart from files, not from the sources."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """Write ``df`` to the shared folder and read it back.
+
+    Later stages restart from files, not from the sources, and read only the columns they need,
+    which a row-wise checkpoint would not give them. The folders stay for the owner to expire.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -55,9 +55,8 @@ def retried(invalid: DataFrame, master: DataFrame) -> DataFrame:
 def silver_increment(spark: SparkSession, lake: Lake, batch: DataFrame, now: Column, strict: bool = False) -> None:
     """Publish one slice of raw rows."""
     master = table(spark, lake.master)
-    validated = cut_lineage(validate(batch, strict=strict))
-    valid, invalid = split_valid(validated)
-    arrived = dedup_first(valid).select(*BRONZE_SCHEMA.names)
+    valid, invalid = split_valid(validate(batch, strict=strict))
+    arrived = cut_lineage(dedup_first(valid).select(*BRONZE_SCHEMA.names))
 
     history = None
     fresh = arrived
