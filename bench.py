@@ -11,7 +11,7 @@ import statistics
 import sys
 import time
 
-from checks.queries import REGISTRY
+from fieldgauge.checks.queries import REGISTRY
 from fieldgauge.session import build_session
 
 HEADLINES = (

@@ -1,4 +1,4 @@
-"""Run registered queries next to their DuckDB SQL: ``python -m checks.compare [sf_dir] [name ...]``."""
+"""Run registered queries next to their DuckDB SQL: ``python -m fieldgauge.checks.compare [sf_dir] [name ...]``."""
 
 from __future__ import annotations
 
@@ -8,8 +8,8 @@ from pathlib import Path
 
 import duckdb
 
-from checks.oracles import ORACLES
-from checks.queries import REGISTRY
+from fieldgauge.checks.oracles import ORACLES
+from fieldgauge.checks.queries import REGISTRY
 from fieldgauge.session import build_session
 
 DEFAULT_DIR = "/root/testdata/sf0.01"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.fixtures import NOW, REFERENCE_SQL, TELEMETRY_SQL
+from fieldgauge.checks.fixtures import NOW, REFERENCE_SQL, TELEMETRY_SQL
 from fieldgauge.sources.schemas import (
     ALERT_COLUMNS,
     CURRENT_COLUMNS,

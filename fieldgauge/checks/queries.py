@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.fixtures import NOW, envelope, load, reference, telemetry
+from fieldgauge.checks.fixtures import NOW, envelope, load, reference, telemetry
 from fieldgauge.config import EVENT_KEY, LIMITS, STATUS_COLUMNS, ZONE_KEYS
 from fieldgauge.functions import expressions as X
 from fieldgauge.operators import audit, listing, merge

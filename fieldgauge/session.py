@@ -9,9 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+SHUFFLE_PARTITION_BYTES = 200 * 2**20
+SCAN_PARTITION_BYTES = 256 * 2**20
 
-def build_session(app: str = "fieldgauge", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with UTC time, adaptive execution and whatever ``conf`` adds."""
+
+def shuffle_partitions(input_bytes: int, partition_bytes: int = SHUFFLE_PARTITION_BYTES) -> int:
+    """Partitions that keep one sort in memory when all of ``input_bytes`` is shuffled."""
+    return max(1, -(-input_bytes // partition_bytes))
+
+
+def build_session(
+    app: str = "fieldgauge", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """A session with UTC time, adaptive execution and whatever ``conf`` adds.
+
+    ``input_bytes``, the size of the largest table a job shuffles, sets the number of shuffle
+    partitions. Adaptive execution merges those that turn out small, but it never adds any, and
+    Spark's default of 200 would put half a terabyte of a 100 TB table into each.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -24,6 +39,9 @@ def build_session(app: str = "fieldgauge", master: str | None = None, **conf: st
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
+    if input_bytes is not None:
+        settings.setdefault("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes)))
+        settings.setdefault("spark.sql.files.maxPartitionBytes", str(SCAN_PARTITION_BYTES))
     for key, value in settings.items():
         builder = builder.config(key, value)
     return prepare(builder.getOrCreate())

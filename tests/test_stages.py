@@ -4,7 +4,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 from tests.data import START, at, bronze, master, record
 
-from checks.fixtures import envelope
+from fieldgauge.checks.fixtures import envelope
 from fieldgauge.operators.kpi import daily_kpi
 from fieldgauge.plans.stages import run_all, run_kpi, run_silver, validate_lake
 from fieldgauge.session import scratch_path
