@@ -6,7 +6,7 @@ two source rows for one target row are an error; where it only inserts, both are
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
@@ -16,27 +16,36 @@ from pyspark.sql import functions as F
 from fieldgauge.operators.enrich import BROADCAST_ROWS, bounded_broadcast
 from fieldgauge.operators.grouping import duplicate_keys
 
+Cut = Callable[[DataFrame], DataFrame]
 
-def matched_keys(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], broadcast_rows: int | None = None
-) -> DataFrame:
-    """Keys of the target that also occur in the source.
 
-    With ``broadcast_rows`` a source proved to be below it is broadcast, so the key columns of a
-    large target are scanned but not shuffled.
-    """
-    wanted = source.select(*keys)
-    if broadcast_rows is not None:
-        wanted = bounded_broadcast(wanted, broadcast_rows)
-    return target.select(*keys).join(wanted, list(keys), "left_semi")
+def matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys of the target that also occur in the source. Hint the source to keep the target unshuffled."""
+    return target.select(*keys).join(source.select(*keys), list(keys), "left_semi")
 
 
-def unseen_rows(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], broadcast_rows: int | None = None
-) -> DataFrame:
+def unseen_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Source rows whose key is not in the target: what an insert-only merge appends."""
-    seen = target.select(*keys) if broadcast_rows is None else matched_keys(target, source, keys, broadcast_rows)
-    return source.join(seen, list(keys), "left_anti").select(*source.columns)
+    return source.join(target.select(*keys), list(keys), "left_anti").select(*source.columns)
+
+
+def unseen_rows_late(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], cut: Cut, broadcast_rows: int = BROADCAST_ROWS
+) -> DataFrame:
+    """The same rows, for a source that is a table or a staged frame and may be read twice.
+
+    A source proved small is broadcast against the target's key columns, which are scanned and not
+    shuffled. A large one, as in a full recompute, is mostly known already: its keys alone are
+    compared, and the wide rows are then picked by the few new keys, again without a shuffle if
+    these are proved few. Rows with a NULL in the key match nothing and are all new.
+    """
+    small = source.select(*keys).limit(broadcast_rows + 1).count() <= broadcast_rows
+    if small:
+        return unseen_rows(matched_keys(target, F.broadcast(source.select(*keys)), keys), source, keys)
+    complete = " AND ".join(f"{k} IS NOT NULL" for k in keys)
+    new_keys = cut(unseen_rows(target, source.select(*keys).filter(complete), keys).distinct())
+    picked = source.join(bounded_broadcast(new_keys, broadcast_rows), list(keys), "left_semi").select(*source.columns)
+    return picked.unionByName(source.filter(f"NOT ({complete})"))
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -79,16 +88,16 @@ def merge_episodes(
     packed_s = source.select(F.col(key).alias("_sk"), F.struct(*target.columns).alias("_s"))
     joined = packed_t.join(packed_s, F.col("_tk") == F.col("_sk"), "full_outer")
 
-    absent_t, absent_s = F.col("_t").isNull(), F.col("_s").isNull()
-
     def merged(name: str) -> Column:
-        old, new = F.col("_t").getField(name), F.col("_s").getField(name)
-        seen_again = old
-        if name in refresh:
-            given = refresh[name]
-            seen_again = new if given is None else given
-        gone = close.get(name, old)
-        return F.when(absent_t, new).when(absent_s, gone).otherwise(seen_again).alias(name)
+        old, new = f"_t.{name}", f"_s.{name}"
+        given = refresh.get(name)
+        if given is None and name not in close:
+            # Present on both sides: the sighting's own value if it refreshes, else the old one.
+            first, second = ("_s", "_t") if name in refresh else ("_t", "_s")
+            return F.expr(f"CASE WHEN {first} IS NOT NULL THEN {first}.{name} ELSE {second}.{name} END AS {name}")
+        seen_again = F.expr(new if name in refresh else old) if given is None else given
+        gone = close.get(name, F.expr(old))
+        return F.when(F.expr("_t IS NULL"), F.expr(new)).when(F.expr("_s IS NULL"), gone).otherwise(seen_again).alias(name)
 
     changed = joined.select(*[merged(c) for c in target.columns])
     return target.filter(~still_open).unionByName(changed)
@@ -98,8 +107,3 @@ def key_condition(keys: Sequence[str], target: str, source: str) -> Column:
     """Match condition for Spark's ``mergeInto``, for table formats that support it."""
     return reduce(and_, [F.col(f"{target}.{k}") == F.col(f"{source}.{k}") for k in keys])
 
-
-__all__ = [
-    "BROADCAST_ROWS", "assert_single_match", "key_condition", "matched_keys", "merge_episodes",
-    "merge_insert_only", "merge_upsert", "unseen_rows",
-]

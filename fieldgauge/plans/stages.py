@@ -42,8 +42,9 @@ class Lake:
         return f"{self.root.rstrip('/')}/{name}"
 
 
-def processing_time() -> Column:
-    return F.current_timestamp()
+def processing_time(spark: SparkSession) -> Column:
+    """The time now, as one constant for all jobs of a run."""
+    return F.lit(spark.sql("SELECT string(current_timestamp())").first()[0]).cast("timestamp")
 
 
 def load_reference(spark: SparkSession, lake: Lake, csv_path: str) -> None:
@@ -51,15 +52,14 @@ def load_reference(spark: SparkSession, lake: Lake, csv_path: str) -> None:
 
 
 def insert_unseen(df: DataFrame, name: str, path: str, keys: Sequence[str]) -> None:
-    """Insert-only merge into a table. Repeating it after a failure adds only what is missing."""
+    """Insert-only merge of a staged frame into a table. A repeat after a failure adds only what is missing."""
     spark = df.sparkSession
     if sinks.create_if_absent(df, name, path):
         return
     if sinks.supports_merge(spark, name):
         sinks.merge_unseen_into(df, name, keys)
         return
-    fresh = merge.unseen_rows(table(spark, name), df, keys, broadcast_rows=merge.BROADCAST_ROWS)
-    sinks.append_rows(fresh, name)
+    sinks.append_rows(merge.unseen_rows_late(table(spark, name), df, keys, cut_lineage), name)
 
 
 def upsert(df: DataFrame, name: str, path: str, keys: Sequence[str]) -> None:
@@ -78,20 +78,20 @@ def upsert(df: DataFrame, name: str, path: str, keys: Sequence[str]) -> None:
 
 def run_silver(spark: SparkSession, lake: Lake, now: Column | None = None, strict: bool = False) -> None:
     """Recompute silver from all raw rows and insert what is new."""
-    now = processing_time() if now is None else now
+    now = processing_time(spark) if now is None else now
     built = build_silver(table(spark, lake.bronze), table(spark, lake.master), now, cut_lineage, strict)
     insert_unseen(built.published, lake.silver, lake.path(lake.silver), EVENT_KEY)
     insert_unseen(cut_lineage(built.quarantined), lake.invalid, lake.path(lake.invalid), OFFSET_KEYS)
 
 
 def run_current(spark: SparkSession, lake: Lake, now: Column | None = None) -> None:
-    now = processing_time() if now is None else now
+    now = processing_time(spark) if now is None else now
     state = cut_lineage(current_status(table(spark, lake.silver), now))
     upsert(state, lake.current, lake.path(lake.current), ZONE_KEYS)
 
 
 def run_alerts(spark: SparkSession, lake: Lake, now: Column | None = None) -> None:
-    now = processing_time() if now is None else now
+    now = processing_time(spark) if now is None else now
     sightings = cut_lineage(open_alerts(table(spark, lake.current), now))
     assert_unique(sightings, [ALERT_KEY], "the current alert conditions")
     if not table_exists(spark, lake.alerts):
@@ -107,13 +107,14 @@ def run_alerts(spark: SparkSession, lake: Lake, now: Column | None = None) -> No
 
 
 def run_kpi(spark: SparkSession, lake: Lake, now: Column | None = None, drop_null_date: bool = False) -> None:
-    now = processing_time() if now is None else now
+    now = processing_time(spark) if now is None else now
     days = cut_lineage(daily_kpi(table(spark, lake.silver), now, drop_null_date))
     upsert(days, lake.kpi, lake.path(lake.kpi), KPI_KEYS)
 
 
 def run_all(spark: SparkSession, lake: Lake, now: Column | None = None) -> None:
     """Silver, current state, alerts, KPIs: each only if the one before succeeded."""
+    now = processing_time(spark) if now is None else now
     run_silver(spark, lake, now)
     run_current(spark, lake, now)
     run_alerts(spark, lake, now)

@@ -1,4 +1,4 @@
-"""Silver and KPIs from new raw rows only, with the result a full recompute would publish.
+"""Silver and gold from new raw rows only, with the result a full recompute would publish.
 
 Each run of ``silver_increment`` takes one slice of the raw table:
 
@@ -9,7 +9,10 @@ Each run of ``silver_increment`` takes one slice of the raw table:
 * numbers of the touched devices are read back from silver and quarantine, so gaps are found
   against the whole history. Gaps already published are not revised by late packets.
 
-All writes are insert-only on a key, so a slice may be repeated after a failure.
+Current state and KPIs then look at the zones and days that silver rows processed since the gold
+table's own last update belong to. A stage that failed is thus made up for by the next run.
+
+All writes are insert-only or replace whole keys, so a slice may be repeated after a failure.
 """
 
 from __future__ import annotations
@@ -22,13 +25,14 @@ from pyspark.sql import functions as F
 from fieldgauge.config import DEVICE_KEYS, EVENT_KEY, KPI_KEYS, MASTER_DATA_NOT_FOUND, OFFSET_KEYS, ZONE_KEYS
 from fieldgauge.functions import expressions as X
 from fieldgauge.operators import merge
+from fieldgauge.operators.current import current_status
 from fieldgauge.operators.enrich import bounded_broadcast
 from fieldgauge.operators.grouping import dedup_first
 from fieldgauge.operators.kpi import daily_kpi, local_day
 from fieldgauge.operators.quality import ERROR, split_valid, validate
 from fieldgauge.operators.quarantine import quarantine
 from fieldgauge.plans.silver import graded_readings, publishable, sequenced
-from fieldgauge.plans.stages import Lake, insert_unseen, processing_time, upsert
+from fieldgauge.plans.stages import Lake, insert_unseen, processing_time, run_alerts, upsert
 from fieldgauge.session import cut_lineage
 from fieldgauge.sources.readers import parse_json, table, table_exists
 from fieldgauge.sources.schemas import BRONZE_SCHEMA, LINEAGE_COLUMNS
@@ -63,7 +67,7 @@ def silver_increment(spark: SparkSession, lake: Lake, batch: DataFrame, now: Col
     if table_exists(spark, lake.silver):
         published, rejected = table(spark, lake.silver), table(spark, lake.invalid)
         known = published.select(*EVENT_KEY).unionByName(waiting(rejected).select(*EVENT_KEY))
-        fresh = merge.unseen_rows(known, arrived, EVENT_KEY, merge.BROADCAST_ROWS)
+        fresh = merge.unseen_rows_late(known, arrived, EVENT_KEY, cut_lineage)
         again = merge.unseen_rows(published, retried(rejected, master), EVENT_KEY)
         fresh = cut_lineage(fresh.unionByName(dedup_first(again)))
         touched = bounded_broadcast(fresh.select(*DEVICE_KEYS).distinct())
@@ -79,24 +83,53 @@ def silver_increment(spark: SparkSession, lake: Lake, batch: DataFrame, now: Col
     insert_unseen(rejects, lake.invalid, lake.path(lake.invalid), OFFSET_KEYS)
 
 
-def silver_handler(lake: Lake, now: Column | None = None) -> Callable[[DataFrame, int], None]:
-    """Slice handler for ``streaming.ingest.for_each_run`` over the raw table."""
+def _since(spark: SparkSession, name: str) -> Column | None:
+    """When the gold table was last updated; None if it has no rows."""
+    if not table_exists(spark, name):
+        return None
+    last = table(spark, name).agg(F.max("gold_updated_at").cast("string")).first()[0]
+    return None if last is None else F.lit(last).cast("timestamp")
 
-    def handle(batch: DataFrame, _: int) -> None:
-        silver_increment(batch.sparkSession, lake, batch, processing_time() if now is None else now)
 
-    return handle
+def _processed_since(silver: DataFrame, since: Column | None) -> DataFrame:
+    return silver if since is None else silver.filter(F.col("silver_processed_at") >= since)
 
 
-def kpi_increment(spark: SparkSession, lake: Lake, since: Column, now: Column) -> None:
-    """Recompute the zone days that got readings processed at or after ``since``.
+def current_increment(spark: SparkSession, lake: Lake, now: Column) -> None:
+    """Latest state of the zones with new readings.
+
+    Silver rows never change, so the newest row of a zone is not older than its published state:
+    only rows from the oldest of these states on are read.
+    """
+    silver = table(spark, lake.silver)
+    zones = _processed_since(silver, _since(spark, lake.current)).select(*ZONE_KEYS).distinct()
+    if table_exists(spark, lake.current):
+        published = table(spark, lake.current).select(*ZONE_KEYS, F.col("last_reading_at").alias("_from"))
+        zones = zones.join(published, list(ZONE_KEYS), "left")
+    else:
+        zones = zones.withColumn("_from", F.lit(None).cast("timestamp"))
+    zones = cut_lineage(zones)
+    oldest, unknown = zones.agg(F.min("_from").cast("string"), F.count_if(F.col("_from").isNull())).first()
+    near = silver
+    if oldest is not None and not unknown:
+        near = silver.filter(F.col("event_timestamp") >= F.lit(oldest).cast("timestamp"))
+    candidates = (
+        near.join(bounded_broadcast(zones), list(ZONE_KEYS))
+        .filter("_from IS NULL OR event_timestamp >= _from")
+        .select(*silver.columns)
+    )
+    upsert(cut_lineage(current_status(candidates, now)), lake.current, lake.path(lake.current), ZONE_KEYS)
+
+
+def kpi_increment(spark: SparkSession, lake: Lake, now: Column) -> None:
+    """KPIs of the zone days with new readings, from all their readings.
 
     The days are a semi-join; their time range, a day wider on both sides for the zones' offsets,
-    is pushed to the scan as well.
+    is pushed to the scan as well. Readings without a time have no day and are left out.
     """
     silver = table(spark, lake.silver)
     touched = cut_lineage(
-        local_day(silver.filter(F.col("silver_processed_at") >= since)).select(*KPI_KEYS).distinct()
+        local_day(_processed_since(silver, _since(spark, lake.kpi))).select(*KPI_KEYS).distinct()
     )
     first, last = touched.agg(F.min("kpi_date"), F.max("kpi_date")).first()
     if first is None:
@@ -111,3 +144,31 @@ def kpi_increment(spark: SparkSession, lake: Lake, since: Column, now: Column) -
         .select(*silver.columns)
     )
     upsert(cut_lineage(daily_kpi(of_days, now)), lake.kpi, lake.path(lake.kpi), KPI_KEYS)
+
+
+def run_increment(spark: SparkSession, lake: Lake, batch: DataFrame, now: Column | None = None) -> None:
+    """One slice of raw rows through silver, current state, alerts and KPIs."""
+    now = processing_time(spark) if now is None else now
+    silver_increment(spark, lake, batch, now)
+    current_increment(spark, lake, now)
+    run_alerts(spark, lake, now)
+    kpi_increment(spark, lake, now)
+
+
+def silver_handler(lake: Lake, now: Column | None = None) -> Callable[[DataFrame, int], None]:
+    """Publishes slices of the raw table to silver; for ``streaming.ingest.for_each_run``."""
+
+    def handle(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        silver_increment(spark, lake, batch, processing_time(spark) if now is None else now)
+
+    return handle
+
+
+def lake_handler(lake: Lake, now: Column | None = None) -> Callable[[DataFrame, int], None]:
+    """Takes slices of the raw table through all stages; for ``streaming.ingest.for_each_run``."""
+
+    def handle(batch: DataFrame, _: int) -> None:
+        run_increment(batch.sparkSession, lake, batch, now)
+
+    return handle

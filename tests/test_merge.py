@@ -1,6 +1,7 @@
 import pytest
 
 from fieldgauge.operators import merge
+from fieldgauge.session import cut_lineage
 
 SCHEMA = "k STRING, p INT, v INT"
 
@@ -20,15 +21,18 @@ def test_insert_only_never_changes_a_row_and_inserts_doubles(spark, target):
         [("a", 1, 10), ("b", 1, 20), (None, 1, 30), ("c", 1, 1), ("c", 1, 2), (None, 1, 3)], key=str
     )
     assert rows(merge.merge_insert_only(target, source, ["k"])) == expected
-    for limit in (0, 100):
-        assert rows(merge.unseen_rows(target, source, ["k"], limit)) == sorted(
-            [("c", 1, 1), ("c", 1, 2), (None, 1, 3)], key=str
-        )
+    unseen = sorted([("c", 1, 1), ("c", 1, 2), (None, 1, 3)], key=str)
+    assert rows(merge.unseen_rows(target, source, ["k"])) == unseen
+    for limit in (0, 1, 100):
+        assert rows(merge.unseen_rows_late(target, source, ["k"], cut_lineage, limit)) == unseen
 
 
 def test_composite_key_needs_both_parts(spark, target):
     source = spark.createDataFrame([("a", 2, 1), ("a", 1, 2), ("a", None, 3)], SCHEMA)
-    assert rows(merge.unseen_rows(target, source, ["k", "p"])) == sorted([("a", 2, 1), ("a", None, 3)], key=str)
+    unseen = sorted([("a", 2, 1), ("a", None, 3)], key=str)
+    assert rows(merge.unseen_rows(target, source, ["k", "p"])) == unseen
+    for limit in (0, 100):
+        assert rows(merge.unseen_rows_late(target, source, ["k", "p"], cut_lineage, limit)) == unseen
 
 
 def test_upsert_replaces_inserts_and_keeps(spark, target):

@@ -68,8 +68,7 @@ def test_top_k_keeps_k_rows_per_task(silver):
 
 
 def test_small_source_does_not_shuffle_the_target(silver):
-    source = silver.limit(3)
-    seen = merge.matched_keys(silver, source, ["event_id"], broadcast_rows=100)
+    seen = merge.matched_keys(silver, F.broadcast(silver.limit(3).select("event_id")), ["event_id"])
     assert "BroadcastHashJoin" in plan(seen) and "hashpartitioning" not in plan(seen)
     (schema, *_) = read_schemas(seen)
     assert schema == "event_id:string"

@@ -5,12 +5,13 @@ from pyspark.sql import functions as F
 from tests.data import START, at, bronze, master, record
 
 from fieldgauge.checks.fixtures import envelope
+from fieldgauge.operators.current import current_status
 from fieldgauge.operators.kpi import daily_kpi
 from fieldgauge.plans.stages import run_all, run_kpi, run_silver, validate_lake
 from fieldgauge.session import scratch_path
 from fieldgauge.sources import tables as sinks
 from fieldgauge.sources.readers import read_event_stream, read_path, table
-from fieldgauge.streaming.incremental import kpi_increment, silver_handler, silver_increment
+from fieldgauge.streaming.incremental import run_increment, silver_handler, silver_increment
 from fieldgauge.streaming.ingest import for_each_run, ingest, rows_read
 
 ZONES = ({}, {"zone_id": "Z2", "timezone": "America/New_York"})
@@ -99,13 +100,31 @@ def test_repeated_slice_adds_nothing(spark, lake):
     assert (content(spark, lake.silver), content(spark, lake.invalid)) == before
 
 
-def test_touched_days_equal_all_days(spark, lake):
+def test_touched_zones_and_days_equal_all_of_them(spark, lake):
     rows = telemetry(4, 150)
     sinks.publish_snapshot(master(spark, *ZONES), lake.master, lake.path(lake.master))
-    for step, part in enumerate((rows[:70], rows[70:100], rows[100:])):
-        now = at(f"2024-04-0{step + 1}")
-        silver_increment(spark, lake, bronze(spark, part), now)
-        kpi_increment(spark, lake, now, now)
+    parts = (rows[:70], rows[70:100], rows[100:])
+    for step, part in enumerate(parts):
+        run_increment(spark, lake, bronze(spark, part), at(f"2024-04-0{step + 1}"))
+        silver = table(spark, lake.silver)
+        for name, fresh in [
+            (lake.kpi, daily_kpi(silver, at("2024-04-01"))),
+            (lake.current, current_status(silver, at("2024-04-01"))),
+        ]:
+            fresh = fresh.drop("gold_updated_at")
+            expected = sorted((tuple(r) for r in fresh.select(*sorted(fresh.columns)).collect()), key=str)
+            assert content(spark, name, "gold_updated_at") == expected, f"{name} after slice {step}"
+    report = {r.check_name: r.passed for r in validate_lake(spark, lake).collect()}
+    assert report["OVERALL"]
+
+
+def test_gold_makes_up_for_a_stage_that_failed(spark, lake):
+    rows = telemetry(6, 90)
+    sinks.publish_snapshot(master(spark, *ZONES), lake.master, lake.path(lake.master))
+    run_increment(spark, lake, bronze(spark, rows[:40]), at("2024-04-01"))
+    # The second slice reaches silver, and the run ends there.
+    silver_increment(spark, lake, bronze(spark, rows[40:60]), at("2024-04-02"))
+    run_increment(spark, lake, bronze(spark, rows[60:]), at("2024-04-03"))
     everything = daily_kpi(table(spark, lake.silver), at("2024-04-01")).drop("gold_updated_at")
     expected = sorted((tuple(r) for r in everything.select(*sorted(everything.columns)).collect()), key=str)
     assert content(spark, lake.kpi, "gold_updated_at") == expected
