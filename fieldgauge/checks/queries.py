@@ -565,7 +565,8 @@ def silver_in_slices(spark, sf_dir):
         rows.filter("eventhub_enqueued_time >= TIMESTAMP '2024-01-21'"),
     ):
         part.write.mode("append").parquet(raw)
-        for_each_run(spark.readStream.schema(BRONZE_SCHEMA).parquet(raw), checkpoint, silver_handler(lake, now()))
+        arriving = spark.readStream.schema(BRONZE_SCHEMA).parquet(raw)
+        for_each_run(arriving, checkpoint, silver_handler(lake, now()), lake.names)
     return table(spark, lake.silver)
 
 

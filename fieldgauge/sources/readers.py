@@ -47,8 +47,6 @@ def read_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame
 
 
 def table(spark: SparkSession, name: str) -> DataFrame:
-    """Catalog table, listed anew: another session, as in a stream's slice, may have written to it."""
-    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from fieldgauge.sources.readers import to_bronze
+from fieldgauge.sources.readers import table_exists, to_bronze
 
 
 def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
@@ -33,8 +33,13 @@ def rows_read(query: StreamingQuery) -> int:
     return sum(progress.numInputRows for progress in query.recentProgress)
 
 
-def for_each_run(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None]) -> StreamingQuery:
-    """Hand each new slice of an append-only table to ``handle``, then stop."""
+def for_each_run(
+    df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, int], None], writes: Iterable[str] = ()
+) -> StreamingQuery:
+    """Hand each new slice of an append-only table to ``handle``, then stop.
+
+    Slices run in a session of their own; the caller's session lists the tables in ``writes`` anew.
+    """
     query = (
         df.writeStream.foreachBatch(handle)
         .option("checkpointLocation", checkpoint)
@@ -42,4 +47,7 @@ def for_each_run(df: DataFrame, checkpoint: str, handle: Callable[[DataFrame, in
         .start()
     )
     query.awaitTermination()
+    for name in writes:
+        if table_exists(df.sparkSession, name):
+            df.sparkSession.catalog.refreshTable(name)
     return query

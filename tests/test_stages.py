@@ -141,7 +141,7 @@ def test_stream_reads_each_event_once_and_feeds_silver(spark, lake, tmp_path):
         query = ingest(read_event_stream(spark, "parquet", path=source), raw, checkpoint, at("2024-04-01"))
         seen.append(rows_read(query))
         stream = spark.readStream.schema(read_path(spark, raw).schema).parquet(raw)
-        for_each_run(stream, f"{checkpoint}-silver", silver_handler(lake, at("2024-04-01")))
+        for_each_run(stream, f"{checkpoint}-silver", silver_handler(lake, at("2024-04-01")), lake.names)
     assert seen == [rows.filter("eventhub_offset < 40").count(), rows.filter("eventhub_offset >= 40").count(), 0]
     ids = table(spark, lake.silver).select("event_id")
     assert ids.count() == ids.distinct().count() > 0
