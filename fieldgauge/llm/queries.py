@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldgauge.llm import chat, jaccard_join, language, mixing, sharding, url_filter
+from fieldgauge.llm import chat, jaccard_join, language, mixing, sentencepiece, sharding, url_filter
 from fieldgauge.llm.shipping import ship_code
 
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -14,6 +14,9 @@ EXTRA_TURNS = (
 )
 
 
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship_code(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -23,6 +26,20 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str = PIECE_MODEL) -> DataFrame:
+    """Ids of every text, and whether decoding them gives the text again."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = sentencepiece.encode(
+        docs.withColumn("_crc", F.crc32(F.replace("text", F.lit("▁"), F.lit(" ")))), model_file,
+        columns=["doc_id", "_crc"],
+    )
+    decoded = sentencepiece.decode(encoded, model_file)
+    return decoded.select(
+        "doc_id", F.coalesce(F.size("ids"), F.lit(0)).alias("n_tokens"), "ids",
+        F.crc32("decoded").eqNullSafe(F.col("_crc")).alias("round_trip"),
+    )
+
+
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(RULES), "host string, path string, verdict string")
     return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select(
@@ -58,6 +75,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_mix_sources": op1_mix_sources,
+    "op3_sentencepiece": op3_sentencepiece,
     "op5_url_rules": op5_url_rules,
     "op6_chat_format": op6_chat_format,
     "op7_ngram_jaccard": op7_ngram_jaccard,
