@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldgauge.llm import chat, jaccard_join, language, mixing, sentencepiece, sharding, url_filter
+from fieldgauge.llm import chat, jaccard_join, language, mixing, sentencepiece, sharding, surrogates, url_filter
 from fieldgauge.llm.shipping import ship_code
 
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -26,6 +26,11 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op2_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return surrogates.pseudonymise(docs).select("doc_id", "text", "n_replaced")
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str = PIECE_MODEL) -> DataFrame:
     """Ids of every text, and whether decoding them gives the text again."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -75,6 +80,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_pii_surrogates": op2_pii_surrogates,
     "op3_sentencepiece": op3_sentencepiece,
     "op5_url_rules": op5_url_rules,
     "op6_chat_format": op6_chat_format,
