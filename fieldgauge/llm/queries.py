@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldgauge.llm import chat, jaccard_join, language, mixing, sentencepiece, sharding, surrogates, url_filter
+from fieldgauge.llm import chat, jaccard_join, language, mixing, pivot_dedup, sentencepiece, sharding, surrogates, tree_search, url_filter
 from fieldgauge.llm.shipping import ship_code
 
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -45,6 +45,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str, model_file: str = PIECE_
     )
 
 
+def op4_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_dedup.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(RULES), "host string, path string, verdict string")
     return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select(
@@ -69,6 +73,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "spans")
 
 
+def op9_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return tree_search.search(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = sharding.shard_records(table(spark, sf_dir, "documents"))
     return sharded.select(
@@ -82,9 +91,11 @@ REGISTRY = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pii_surrogates": op2_pii_surrogates,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_vector_dedup": op4_vector_dedup,
     "op5_url_rules": op5_url_rules,
     "op6_chat_format": op6_chat_format,
     "op7_ngram_jaccard": op7_ngram_jaccard,
     "op8_language": op8_language,
+    "op9_tree_search": op9_tree_search,
     "op10_shards": op10_shards,
 }
