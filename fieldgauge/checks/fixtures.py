@@ -14,9 +14,26 @@ from fieldgauge.sources.schemas import BRONZE_SCHEMA, EVENT_SCHEMA, REFERENCE_SC
 
 NOW = "2024-02-01 00:00:00"
 
-# Middle of the crop's pH and conductivity range, in hundredths, three digits per crop.
-_PH_MID = "CAST(substr('650575650600525625', CAST(3 * ci + 1 AS INT), 3) AS INT)"
-_EC_MID = "CAST(substr('150130205200185300', CAST(3 * ci + 1 AS INT), 3) AS INT)"
+# Crops of the fixture, with their bounds in tenths: pH, conductivity, water temperature, humidity.
+CROPS = (
+    ("Kale", (59, 69), (13, 19), (175, 235), (560, 740)),
+    ("Mint", (56, 62), (11, 17), (185, 245), (510, 720)),
+    ("Chard", (61, 71), (17, 24), (165, 225), (540, 760)),
+    ("Celery", (57, 63), (19, 23), (180, 250), (570, 730)),
+    ("Okra", (51, 57), (16, 21), (190, 255), (590, 810)),
+    ("Fennel", (60, 66), (21, 39), (170, 240), (530, 770)),
+)
+
+
+def _by_crop(values) -> str:
+    """One value per crop, by its number ``ci``."""
+    cases = " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values))
+    return f"CASE ci {cases} END"
+
+
+def _middle(bounds: int) -> str:
+    """Hundredths half-way between a crop's bounds."""
+    return _by_crop(5 * (crop[bounds][0] + crop[bounds][1]) for crop in CROPS)
 
 
 def _spread(factor: int, modulus: int, up: int, down: int) -> str:
@@ -30,14 +47,14 @@ def _scaled(number: str, divisor: int) -> str:
 # Hundredths that depend on the delivery. Inputs: n (event number), ci (crop), copy (0 or 1).
 DELIVERED = {
     "ph_100": f"CASE WHEN copy = 1 THEN 500 WHEN n % 223 = 0 THEN NULL WHEN n % 211 = 0 THEN 1520 "
-              f"ELSE {_PH_MID} + {_spread(7919, 20, 100, -100)} END",
-    "ec_100": f"CASE WHEN n % 227 = 0 THEN -100 ELSE {_EC_MID} + {_spread(7907, 21, 120, -110)} END",
+              f"ELSE {_middle(1)} + {_spread(7919, 20, 100, -100)} END",
+    "ec_100": f"CASE WHEN n % 227 = 0 THEN -100 ELSE {_middle(2)} + {_spread(7907, 21, 120, -110)} END",
 }
 
 # Inputs: n, fi, zi, ci (event, farm, zone and crop numbers), copy, ph_100, ec_100, body (JSON text).
 TELEMETRY = {
     "event_id": "CAST(n AS VARCHAR(20))",
-    "event_type": "'hydroponics_telemetry'",
+    "event_type": "'sensor_reading'",
     "schema_version": "'5.0'",
     "farm_id": "concat('FARM-', fi)",
     "zone_id": "concat('BAY-', zi)",
@@ -72,16 +89,13 @@ TELEMETRY = {
 }
 
 
-def _by_crop(*values: str) -> str:
-    cases = " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values))
-    return f"CASE ci {cases} END"
-
+def _bound(bounds: int, side: int) -> str:
+    return _scaled(f"({_by_crop(crop[bounds][side] for crop in CROPS)})", 10)
 
-def _bound(*tenths: int) -> str:
-    return _scaled(f"({_by_crop(*map(str, tenths))})", 10)
 
+_NAMES = _by_crop(f"'{crop[0]}'" for crop in CROPS)
 
-# Inputs: fi, zi, ci. Thresholds by crop, in tenths.
+# Inputs: fi, zi, ci.
 REFERENCE = {
     "farm_id": "concat('FARM-', fi)",
     "zone_id": "concat('BAY-', zi)",
@@ -89,18 +103,18 @@ REFERENCE = {
     "state": "concat('STATE-', fi % 5)",
     "timezone": "CASE fi % 4 WHEN 0 THEN 'America/Chicago' WHEN 1 THEN 'America/Los_Angeles' "
                 "WHEN 2 THEN 'America/New_York' ELSE 'America/Phoenix' END",
-    "crop_type": _by_crop("'Lettuce'", "'Basil'", "'Spinach'", "'Strawberry'", "'Cucumber'", "'Cherry Tomatoes'"),
-    "ph_min": _bound(60, 55, 60, 58, 50, 60),
-    "ph_max": f"CASE WHEN fi = 12 THEN NULL ELSE {_bound(70, 60, 70, 62, 55, 65)} END",
-    "ec_min_ms_cm": _bound(12, 10, 18, 18, 17, 20),
-    "ec_max_ms_cm": _bound(18, 16, 23, 22, 20, 40),
-    "water_temp_min_c": _bound(180, 180, 170, 180, 180, 180),
-    "water_temp_max_c": _bound(240, 250, 230, 240, 250, 250),
-    "humidity_min_pct": _bound(550, 500, 550, 550, 600, 550),
-    "humidity_max_pct": _bound(750, 700, 750, 750, 800, 750),
-    "do_min_mg_l": f"CASE WHEN fi = 13 THEN NULL ELSE {_scaled('60', 10)} END",
-    "water_level_min_cm": _scaled("165", 10),
-    "water_level_max_cm": _scaled("220", 10),
+    "crop_type": _NAMES,
+    "ph_min": _bound(1, 0),
+    "ph_max": f"CASE WHEN fi = 12 THEN NULL ELSE {_bound(1, 1)} END",
+    "ec_min_ms_cm": _bound(2, 0),
+    "ec_max_ms_cm": _bound(2, 1),
+    "water_temp_min_c": _bound(3, 0),
+    "water_temp_max_c": _bound(3, 1),
+    "humidity_min_pct": _bound(4, 0),
+    "humidity_max_pct": _bound(4, 1),
+    "do_min_mg_l": f"CASE WHEN fi = 13 THEN NULL ELSE {_scaled('58', 10)} END",
+    "water_level_min_cm": _scaled("160", 10),
+    "water_level_max_cm": _scaled("225", 10),
     "active_flag": "fi % 7 <> 3",
 }
 

@@ -22,10 +22,10 @@ def rounded(x: str) -> str:
     return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), 2) AS DOUBLE)"
 
 
-def settled(x: str) -> str:
-    return (
-        f"CAST(round(CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), 9) AS DECIMAL(38, 9)), 2) AS DOUBLE)"
-    )
+def averaged(x: str, factor: int = 1) -> str:
+    """Average in whole billionths, rounded half up to hundredths by integer division."""
+    total, n = f"sum(CAST(round({x} * 1000000000) AS HUGEINT)) * {factor}", f"count({x})"
+    return f"CAST((2 * {total} + {n} * 10000000) // (20000000 * {n}) AS DOUBLE) / 100"
 
 
 def listed(columns, prefix: str = "") -> str:
@@ -162,8 +162,8 @@ _CTES = {
           count(*) AS reading_count,
           CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS anomaly_reading_count,
           CAST(sum(missing_packet_count) AS BIGINT) AS missing_packet_count,
-          {", ".join(f"{settled(f'avg({v})')} AS {k}" for k, v in _AVERAGED.items())},
-          {", ".join(f"{settled(f'avg(CAST({v} AS INTEGER)) * 100')} AS {k}" for k, v in KPI_DUTY_CYCLES.items())},
+          {", ".join(f"{averaged(v)} AS {k}" for k, v in _AVERAGED.items())},
+          {", ".join(f"{averaged(f'CAST({v} AS INTEGER)', 100)} AS {k}" for k, v in KPI_DUTY_CYCLES.items())},
           min(local_event_timestamp) AS first_reading_at, max(local_event_timestamp) AS last_reading_at
         FROM localised GROUP BY ALL""",
     "kpi_rate": f"""
@@ -223,8 +223,6 @@ def _episodes() -> str:
 
 _DEVICE = "farm_id, zone_id, device_id"
 _STATUS_LIST = ", ".join(f"('{s}', {s})" for s in _STATUS_NAMES)
-_READINGS = "ph, ph_status, ec_ms_cm, ec_status, water_temp_c, water_temp_status, water_level_cm, " \
-            "water_level_status, humidity_pct, humidity_status, dissolved_oxygen_mg_l, do_status"
 _LINE = "l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, " \
         "l_returnflag, l_linestatus, l_shipdate"
 _CUT = "TIMESTAMP '1996-01-01'"
@@ -307,10 +305,7 @@ ORACLES = {
         "WHERE has_sequence_gap ORDER BY farm_id, zone_id, device_id, seq_num"
     ),
     # joins
-    "enrich_telemetry": chained(
-        "SELECT event_id, farm_id, zone_id, device_id, event_timestamp, location, crop_type, ph, ph_min, ph_max, "
-        "ec_ms_cm, ec_min_ms_cm, ec_max_ms_cm, master_data_matched FROM e"
-    ),
+    "enrich_telemetry": chained(f"SELECT event_id, {listed(REFERENCE_SCHEMA.names)}, master_data_matched FROM e"),
     "enrich_lineitem": f"""
         SELECT {_LINE}, p_name, p_brand, p_type, p_size, p_retailprice, p_type IS NOT NULL AS master_data_matched
         FROM lineitem LEFT JOIN part ON l_partkey = p_partkey""",
@@ -333,36 +328,18 @@ ORACLES = {
     ),
     "silver": chained(f"SELECT {listed(SILVER_COLUMNS)} FROM silver"),
     "quarantine": chained(f"SELECT {listed(QUARANTINE_COLUMNS)} FROM invalid"),
-    "ph_abnormal": chained("SELECT crop_type, ph, ph_min, ph_max, ph_status FROM g WHERE ph_status <> 'NORMAL'"),
-    "anomalies": chained(
-        f"SELECT event_id, {_DEVICE}, crop_type, event_timestamp, {_READINGS}, anomaly_count, severity, overall_status "
-        "FROM g WHERE is_anomaly ORDER BY event_timestamp DESC, event_id"
-    ),
+    "ph_abnormal": chained("SELECT event_id, ph, ph_status FROM g WHERE ph_status <> 'NORMAL'"),
+    "anomalies": chained(f"SELECT {listed(SILVER_COLUMNS)} FROM silver WHERE is_anomaly"),
     # gold
     "current_state": chained(f"SELECT {listed(CURRENT_COLUMNS)} FROM cur"),
-    "current_listing": chained(
-        "SELECT farm_id, zone_id, crop_type, location, ph, ec_ms_cm, water_temp_c, water_level_cm, "
-        "dissolved_oxygen_mg_l, humidity_pct, is_anomaly, severity, overall_status, last_reading_at FROM cur "
-        "ORDER BY farm_id, zone_id"
-    ),
-    "anomaly_states": chained(
-        f"SELECT farm_id, zone_id, crop_type, severity, overall_status, {', '.join(_STATUS_NAMES)}, last_reading_at "
-        "FROM cur WHERE is_anomaly"
-    ),
+    "current_listing": chained(f"SELECT {listed(CURRENT_COLUMNS)} FROM cur"),
+    "anomaly_states": chained(f"SELECT {listed(CURRENT_COLUMNS)} FROM cur WHERE is_anomaly"),
     "alert_conditions": chained("SELECT * FROM cond ORDER BY farm_id, zone_id, alert_type"),
     "alert_identity": chained("SELECT * FROM alerts"),
-    "active_alerts": chained(
-        "SELECT alert_id, farm_id, zone_id, crop_type, alert_type, severity, current_value, min_threshold, "
-        "max_threshold, first_detected_at, last_detected_at FROM alerts ORDER BY severity DESC, "
-        "last_detected_at DESC, alert_id"
-    ),
+    "active_alerts": chained("SELECT * FROM alerts WHERE alert_status = 'ACTIVE'"),
     "alert_episodes": _episodes(),
     "kpi": chained("SELECT * FROM kpi"),
-    "kpi_listing": chained(
-        "SELECT kpi_date, farm_id, zone_id, crop_type, location, reading_count, anomaly_reading_count, "
-        "anomaly_rate_pct, missing_packet_count, packet_gap_rate_pct, avg_ph, avg_ec_ms_cm, avg_water_temp_c, "
-        "avg_humidity_pct, health_score FROM kpi ORDER BY kpi_date DESC, farm_id, zone_id"
-    ),
+    "kpi_listing": chained("SELECT * FROM kpi"),
     "local_days": chained(
         "SELECT event_id, local_event_timestamp, CAST(local_event_timestamp AS DATE) AS kpi_date FROM localised"
     ),

@@ -24,7 +24,7 @@ from fieldgauge.plans.stages import Lake, run_all
 from fieldgauge.session import cut_lineage, prepare, scratch_path
 from fieldgauge.sources import tables as sinks
 from fieldgauge.sources.readers import parse_json, read_event_stream, read_path, read_reference_csv, table, to_bronze
-from fieldgauge.sources.schemas import BRONZE_SCHEMA
+from fieldgauge.sources.schemas import BRONZE_SCHEMA, REFERENCE_SCHEMA
 from fieldgauge.streaming.incremental import silver_handler
 from fieldgauge.streaming.ingest import for_each_run, ingest, rows_read
 
@@ -155,7 +155,8 @@ def split_valid(spark, sf_dir):
 
 @registered
 def invalid_listing(spark, sf_dir):
-    return listing.invalid_listing(validate(telemetry(spark, sf_dir)).filter(~F.col(VALID_FLAG)))
+    columns = ["event_id", "farm_id", "zone_id", "device_id", ERROR, "raw_payload"]
+    return listing.invalid_listing(validate(telemetry(spark, sf_dir)).filter(~F.col(VALID_FLAG)), columns)
 
 
 # Keys
@@ -231,10 +232,8 @@ def gap_listing(spark, sf_dir):
 
 @registered
 def enrich_telemetry(spark, sf_dir):
-    return _silver(spark, sf_dir).graded.select(
-        "event_id", "farm_id", "zone_id", "device_id", "event_timestamp", "location", "crop_type",
-        "ph", "ph_min", "ph_max", "ec_ms_cm", "ec_min_ms_cm", "ec_max_ms_cm", MATCHED,
-    )
+    joined = [c for c in REFERENCE_SCHEMA.names if c not in ZONE_KEYS]
+    return _silver(spark, sf_dir).graded.select("event_id", *ZONE_KEYS, *joined, MATCHED)
 
 
 @registered
@@ -253,7 +252,8 @@ def enrich_orders(spark, sf_dir):
 
 @registered
 def unmatched(spark, sf_dir):
-    return listing.unmatched_listing(_silver(spark, sf_dir).graded)
+    columns = ["event_id", "farm_id", "zone_id", "device_id", "event_timestamp"]
+    return listing.unmatched_listing(_silver(spark, sf_dir).graded, columns)
 
 
 @registered
@@ -284,12 +284,12 @@ def quarantine(spark, sf_dir):
 
 @registered
 def ph_abnormal(spark, sf_dir):
-    return listing.ph_abnormal(_silver(spark, sf_dir).graded)
+    return listing.ph_abnormal(_silver(spark, sf_dir).graded, ["event_id", "ph", "ph_status"])
 
 
 @registered
 def anomalies(spark, sf_dir):
-    return listing.anomalies(_silver(spark, sf_dir).graded)
+    return listing.anomalies(_published(spark, sf_dir))
 
 
 # Gold

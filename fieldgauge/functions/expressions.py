@@ -84,22 +84,18 @@ def local_date(instant: str, zone: str) -> Column:
     return F.to_date(local_time(instant, zone))
 
 
-def settled(text: str, digits: int = 2) -> Column:
-    """Round a distributed average so that the order of its partial sums cannot show.
+def exact_average(value: str, factor: int = 1, digits: int = 2) -> Column:
+    """Average rounded once, half up, and the same whatever the order in which partial sums meet.
 
-    Partial sums meet in any order, which moves the last bits of a double. Rounding to nine
-    digits first takes that noise away, so a value lying on a rounding edge always goes up.
+    Values are summed as decimals of nine digits; one that is no number, or is beyond 19 digits before
+    the point, is left out, as NULL is.
     """
-    return F.expr(f"round(round({text}, 9), {digits})")
-
-
-def settled_average(value: str) -> Column:
-    return settled(f"avg({value})")
+    return F.expr(f"CAST(round(avg(try_cast({value} AS DECIMAL(28, 9))) * {factor}, {digits}) AS DOUBLE)")
 
 
 def duty_cycle_pct(flag: str) -> Column:
     """Share of readings with the flag on, in percent; NULL flags are left out."""
-    return settled(f"avg(CAST({flag} AS INT)) * 100")
+    return exact_average(f"CAST({flag} AS INT)", factor=100)
 
 
 def percent(part: str, whole: str) -> Column:

@@ -57,30 +57,45 @@ def stale(fresh: DataFrame) -> DataFrame:
     return fresh.filter(~F.col("timestamp_match"))
 
 
-def _check(name: str, failures: DataFrame) -> DataFrame:
-    return failures.select(F.lit(name).alias("check_name"), F.col("failures").cast("long").alias("failures"))
+# Names of the checks as published.
+SILVER_DUPLICATES = "Silver duplicate event IDs"
+CURRENT_DUPLICATES = "Gold current duplicate keys"
+ALERT_DUPLICATES = "Gold active alert duplicates"
+DAILY_DUPLICATES = "Gold daily duplicate keys"
+HEALTH_SCORES = "Invalid health scores"
+ANOMALY_RATES = "Invalid anomaly rates"
+FRESHNESS = "Gold freshness"
 
 
-def _counted(df: DataFrame) -> DataFrame:
-    return df.agg(F.count("*").alias("failures"))
+def _failures(df: DataFrame, **checks: Column) -> DataFrame:
+    """One row per check, all from one aggregate."""
+    counted = df.agg(*[F.coalesce(count, F.lit(0)).cast("long").alias(name) for name, count in checks.items()])
+    rows = F.array(*[
+        F.struct(F.lit(globals()[name]).alias("check_name"), F.col(name).alias("failures")) for name in checks
+    ])
+    return counted.select(F.inline(rows))
 
 
 def validation_report(silver: DataFrame, current: DataFrame, alerts: DataFrame, kpi: DataFrame) -> DataFrame:
-    """Seven checks with their failures, and an eighth row for all of them together."""
-    bounds = kpi.agg(
-        F.count_if(bad_health_score()).alias("health"), F.count_if(bad_anomaly_rate()).alias("rate")
-    )
-    named = F.array(
-        F.struct(F.lit("Invalid health scores").alias("check_name"), F.col("health").alias("failures")),
-        F.struct(F.lit("Invalid anomaly rates").alias("check_name"), F.col("rate").alias("failures")),
+    """Seven checks with their failures, and an eighth row for all of them together.
+
+    Each table but silver is read once; silver is read for its ids and for its newest times. Keys are
+    grouped first, so a check on a group and one on its rows share the pass.
+    """
+    zones = current.groupBy(*ZONE_KEYS).agg(F.count("*").alias("rows"), F.collect_list("last_reading_at").alias("times"))
+    latest = latest_ts_per_key(silver, ZONE_KEYS, "event_timestamp", "newest")
+    compared = zones.join(latest, list(ZONE_KEYS), "left")
+    late = F.size(F.filter("times", lambda t: t != F.col("newest")))
+    days = kpi.groupBy(*KPI_KEYS).agg(
+        F.count("*").alias("rows"), F.count_if(bad_health_score()).alias("health"), F.count_if(bad_anomaly_rate()).alias("rate")
     )
     checks = [
-        _check("Silver duplicate event IDs", _counted(duplicate_keys(silver, EVENT_KEY))),
-        _check("Gold current duplicate keys", _counted(duplicate_keys(current, ZONE_KEYS))),
-        _check("Gold active alert duplicates", _counted(active_duplicates(alerts))),
-        _check("Gold daily duplicate keys", _counted(duplicate_keys(kpi, KPI_KEYS))),
-        bounds.select(F.inline(named)),
-        _check("Gold freshness", _counted(stale(freshness(current, silver)))),
+        _failures(duplicate_keys(silver, EVENT_KEY), SILVER_DUPLICATES=F.count("*")),
+        _failures(compared, CURRENT_DUPLICATES=F.count_if(F.col("rows") > 1), FRESHNESS=F.sum(F.greatest(late, F.lit(0)))),
+        _failures(active_duplicates(alerts), ALERT_DUPLICATES=F.count("*")),
+        _failures(
+            days, DAILY_DUPLICATES=F.count_if(F.col("rows") > 1), HEALTH_SCORES=F.sum("health"), ANOMALY_RATES=F.sum("rate")
+        ),
     ]
     each = reduce(DataFrame.unionByName, checks)
     # Seven rows: the grand total of a rollup gives the overall line without running the checks twice.

@@ -32,7 +32,7 @@ def daily_kpi(silver: DataFrame, now: Column, drop_null_date: bool = False) -> D
             F.expr("count(*) AS reading_count"),
             F.expr("sum(CAST(is_anomaly AS INT)) AS anomaly_reading_count"),
             F.expr("try_sum(missing_packet_count) AS missing_packet_count"),
-            *[X.settled_average(value).alias(name) for name, value in KPI_AVERAGES.items()],
+            *[X.exact_average(value).alias(name) for name, value in KPI_AVERAGES.items()],
             *[X.duty_cycle_pct(flag).alias(name) for name, flag in KPI_DUTY_CYCLES.items()],
             F.min(LOCAL_TIME).alias("first_reading_at"),
             F.max(LOCAL_TIME).alias("last_reading_at"),

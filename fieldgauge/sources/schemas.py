@@ -143,7 +143,7 @@ KPI_COLUMNS = (
     "gold_updated_at",
 )
 
-# Columns whose NULLs the validation reports in the silver table.
+# Columns whose NULLs the validation reports in the silver table.
 SILVER_NOT_NULL = (
     "event_id", "farm_id", "zone_id", "device_id", "event_timestamp", "crop_type", "ph", "ec_ms_cm",
 )

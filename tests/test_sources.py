@@ -15,8 +15,8 @@ from fieldgauge.sources.schemas import BRONZE_SCHEMA, REFERENCE_SCHEMA
 def test_csv_cells_that_do_not_parse_are_null(spark, tmp_path):
     names = REFERENCE_SCHEMA.names
     lines = [",".join(names),
-             "F1,Z1,Austin,Texas,America/Chicago,Basil,5.5,oops,1.0,1.6,18,25,50,70,6.0,16.5,22.0,True",
-             "F1,Z2,Austin,Texas,America/Chicago,,5.5,6.0,1.0,1.6,18,25,50,70,6.0,16.5,22.0,perhaps"]
+             "F1,Z1,Northport,Lakeland,America/Winnipeg,Mint,5.5,oops,1.0,1.6,18,25,50,70,6.0,16.5,22.0,True",
+             "F1,Z2,Northport,Lakeland,America/Winnipeg,,5.5,6.0,1.0,1.6,18,25,50,70,6.0,16.5,22.0,perhaps"]
     (tmp_path / "ref.csv").write_text("\n".join(lines))
     rows = {r.zone_id: r for r in read_reference_csv(spark, str(tmp_path / "ref.csv")).collect()}
     assert (rows["Z1"].ph_max, rows["Z1"].ph_min, rows["Z1"].active_flag) == (None, 5.5, True)

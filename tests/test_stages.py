@@ -64,7 +64,7 @@ def test_kpi_merge_refuses_a_zone_that_changed_during_the_day(spark, lake):
     start(spark, lake, [record(1)], {})
     run_silver(spark, lake, at("2024-04-01"))
     run_kpi(spark, lake, at("2024-04-01"))
-    start(spark, lake, [record(1), record(2)], {"crop_type": "Basil"})
+    start(spark, lake, [record(1), record(2)], {"crop_type": "Mint"})
     run_silver(spark, lake, at("2024-04-01"))
     with pytest.raises(ValueError, match="F1"):
         run_kpi(spark, lake, at("2024-04-01"))
