@@ -426,6 +426,43 @@ ORACLES = {
             SELECT farm_id, zone_id, max(event_timestamp) AS newest FROM silver GROUP BY ALL) x
             ON cur.farm_id = x.farm_id AND cur.zone_id = x.zone_id AND last_reading_at <> newest""",
     ),
+    "validation_report_faults": chained(
+        _REPORT,
+        found="""
+          SELECT 'Silver duplicate event IDs' AS check_name, count(*) AS failures FROM silver WHERE seq_num % 50 = 0
+          UNION ALL SELECT 'Gold current duplicate keys', count(*) FROM cur WHERE farm_id IN ('FARM-1', 'FARM-2')
+          UNION ALL SELECT 'Gold active alert duplicates', count(*) FROM alerts WHERE severity = 'LOW'
+          UNION ALL SELECT 'Gold daily duplicate keys', count(*) FROM kpi WHERE farm_id = 'FARM-3'
+          UNION ALL SELECT 'Invalid health scores',
+            coalesce(CAST(sum(1 + CAST(farm_id = 'FARM-3' AS INTEGER)) AS BIGINT), 0) FROM kpi WHERE reading_count % 3 <> 1
+          UNION ALL SELECT 'Invalid anomaly rates',
+            coalesce(CAST(sum(1 + CAST(farm_id = 'FARM-3' AS INTEGER)) AS BIGINT), 0) FROM kpi WHERE reading_count % 5 = 0
+          UNION ALL SELECT 'Gold freshness',
+            coalesce(CAST(sum(1 + CAST(farm_id IN ('FARM-1', 'FARM-2') AS INTEGER)) AS BIGINT), 0) FROM cur WHERE zone_id = 'BAY-1'""",
+    ),
+    "null_counts_faults": chained(
+        "SELECT column_name, null_count, null_count = 0 AS passed FROM ("
+        "SELECT 'crop_type' AS column_name, count(*) AS null_count FROM silver WHERE seq_num % 7 = 0 "
+        "UNION ALL SELECT 'ph', count(*) FROM silver WHERE seq_num % 11 = 0 "
+        "UNION ALL SELECT unnest(['event_id', 'farm_id', 'zone_id', 'device_id', 'event_timestamp', 'ec_ms_cm']), 0)"
+    ),
+    "doubled_dimension": "SELECT count(*) AS keys, true AS refused FROM part WHERE p_size = 1",
+    "tables_exist": """
+        SELECT unnest(['master', 'bronze', 'silver', 'invalid', 'current', 'alerts', 'kpi']) AS table_name,
+          false AS before, true AS after""",
+    "sample_silver": "SELECT CAST(20 AS BIGINT) AS sampled, CAST(20 AS BIGINT) AS found",
+    "stream_backlog": chained("SELECT count(*) AS rows_read, true AS more_than_kept FROM t"),
+    "increments_over_tables": chained(
+        f"SELECT CAST(local_event_timestamp AS DATE) AS kpi_date, farm_id, zone_id, count(*) AS reading_count, "
+        f"CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS anomaly_reading_count, {averaged('ph')} AS avg_ph, "
+        + rounded(
+            "greatest(0.0, 100.0 - "
+            + rounded("CAST(sum(CAST(is_anomaly AS INTEGER)) AS DOUBLE) / count(*) * 100")
+            + ")"
+        )
+        + " AS health_score FROM (SELECT * REPLACE (CASE WHEN eventhub_offset % 401 <> 0 THEN local_event_timestamp END "
+        "AS local_event_timestamp) FROM localised) GROUP BY 1, farm_id, zone_id"
+    ),
     # streaming
     "stream_ingest": chained(
         f"SELECT {listed(EVENT_SCHEMA.names)}, eventhub_partition, eventhub_offset, eventhub_enqueued_time, "

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldgauge.checks.fixtures import NOW, envelope, load, reference, telemetry
@@ -20,12 +20,12 @@ from fieldgauge.operators.kpi import LOCAL_TIME, daily_kpi, local_day
 from fieldgauge.operators.quality import ERROR, REQUIRED_FLAG, VALID_FLAG, validate
 from fieldgauge.operators.sequence import HAS_GAP, MISSING, PREVIOUS, gap_totals, missing_packets, previous_seq
 from fieldgauge.plans.silver import Silver, build_silver, keep_lazy
-from fieldgauge.plans.stages import Lake, run_all
+from fieldgauge.plans.stages import Lake, existing_tables, run_all
 from fieldgauge.session import cut_lineage, prepare, scratch_path
 from fieldgauge.sources import tables as sinks
 from fieldgauge.sources.readers import parse_json, read_event_stream, read_path, read_reference_csv, table, to_bronze
 from fieldgauge.sources.schemas import BRONZE_SCHEMA, REFERENCE_SCHEMA
-from fieldgauge.streaming.incremental import silver_handler
+from fieldgauge.streaming.incremental import run_increment, silver_handler
 from fieldgauge.streaming.ingest import for_each_run, ingest, rows_read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -329,17 +329,26 @@ def active_alerts(spark, sf_dir):
 def alert_episodes(spark, sf_dir):
     """One merge per day of data, each over the state at that day's end.
 
-    Silver is reduced once to the newest reading per zone and day; the merges then work on that.
+    Silver is reduced to the newest reading per zone and day, and each zone's state is carried forward
+    over the days it is silent, once; a merge reads the states of its own day.
     """
     newest = [F.desc(c) for c in ("event_timestamp", "eventhub_enqueued_time", "eventhub_offset")]
     dated = _published(spark, sf_dir).withColumn("_day", F.to_date("event_timestamp"))
     daily = cut_lineage(latest_per_key(dated, [*ZONE_KEYS, "_day"], newest))
     first, last = daily.agg(F.min("_day"), F.max("_day")).first()
+    days = F.explode(F.sequence(F.lit(first), F.lit(last)))
+    reading = F.struct(*[c for c in daily.columns if c not in ("_day",)]).alias("reading")
+    every = daily.select(*ZONE_KEYS).distinct().withColumn("_day", days)
+    so_far = Window.partitionBy(*ZONE_KEYS).orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
+    states = every.join(daily.select(*ZONE_KEYS, "_day", reading), [*ZONE_KEYS, "_day"], "left").select(
+        "_day", F.last("reading", ignorenulls=True).over(so_far).alias("reading")
+    )
+    states = cut_lineage(states.filter("reading IS NOT NULL").select("_day", "reading.*"))
     episodes = None
-    for batch in range(1, (last - first).days + 2):
-        batch_now = F.date_add(F.lit(first), batch).cast("timestamp")
-        upto = daily.filter(F.col("_day") < F.date_add(F.lit(first), batch)).drop("_day")
-        sightings = open_alerts(current_status(upto, batch_now), batch_now)
+    for batch in range((last - first).days + 1):
+        batch_now = F.date_add(F.lit(first), batch + 1).cast("timestamp")
+        at_end = states.filter(F.col("_day") == F.date_add(F.lit(first), batch)).drop("_day")
+        sightings = open_alerts(current_status(at_end, batch_now), batch_now)
         merged = sightings if episodes is None else alert_lifecycle(episodes, sightings, batch_now)
         episodes = cut_lineage(merged)
     return episodes
@@ -485,9 +494,11 @@ def newest_silver(spark, sf_dir):
 
 @registered
 def sample_silver(spark, sf_dir):
-    """Any twenty rows: the rows are not determined, so there is no SQL to compare with."""
-    columns = ["event_id", "farm_id", "zone_id", "device_id", "crop_type", "ph", "ph_min", "ph_max"]
-    return listing.sample(_published(spark, sf_dir).select(*columns), 20)
+    """Any twenty rows: how many there are, and how many of them silver holds."""
+    silver = cut_lineage(_published(spark, sf_dir))
+    drawn = cut_lineage(listing.sample(silver, 20))
+    held = silver.join(drawn.select("event_id").distinct(), "event_id", "left_semi")
+    return drawn.agg(F.count("*").alias("sampled")).crossJoin(held.agg(F.count("*").alias("found")))
 
 
 # Audits
@@ -519,9 +530,92 @@ def validation_report(spark, sf_dir):
     return audit.validation_report(silver, current, open_alerts(current, now()), daily_kpi(silver, now()))
 
 
+@registered
+def validation_report_faults(spark, sf_dir):
+    """The report over tables with faults of every kind in them."""
+    silver = cut_lineage(_published(spark, sf_dir))
+    current = cut_lineage(current_status(silver, now()))
+    alerts, days = open_alerts(current, now()), daily_kpi(silver, now())
+    stale = current.withColumn(
+        "last_reading_at", F.when(F.col("zone_id") == "BAY-1", F.expr("last_reading_at - INTERVAL 1 HOUR")).otherwise(F.col("last_reading_at"))
+    )
+    scored = days.withColumn(
+        "health_score", F.when(F.col("reading_count") % 3 == 0, F.lit(100.5)).when(F.col("reading_count") % 3 == 1, F.col("health_score"))
+    ).withColumn("anomaly_rate_pct", F.when(F.col("reading_count") % 5 == 0, F.lit(-1.0)).otherwise(F.col("anomaly_rate_pct")))
+    return audit.validation_report(
+        silver.unionByName(silver.filter("seq_num % 50 = 0")),
+        stale.unionByName(stale.filter("farm_id IN ('FARM-1', 'FARM-2')")),
+        alerts.unionByName(alerts.filter("severity = 'LOW'")),
+        scored.unionByName(scored.filter("farm_id = 'FARM-3'")),
+    )
+
+
+@registered
+def null_counts_faults(spark, sf_dir):
+    """Required columns with holes."""
+    holed = _published(spark, sf_dir).withColumn("crop_type", F.expr("CASE WHEN seq_num % 7 <> 0 THEN crop_type END")).withColumn(
+        "ph", F.expr("CASE WHEN seq_num % 11 <> 0 THEN ph END")
+    )
+    return audit.null_counts(holed)
+
+
+@registered
+def doubled_dimension(spark, sf_dir):
+    """Keys a doubled dimension is refused for, as many as the error would find; and that it is refused."""
+    parts = load(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey")
+    doubled = parts.unionByName(parts.filter("p_size = 1"))
+    try:
+        enrich(load(spark, sf_dir, "lineitem"), doubled, ["l_partkey"])
+        refused = False
+    except ValueError:
+        refused = True
+    return duplicate_keys(doubled, ["l_partkey"]).agg(F.count("*").alias("keys")).withColumn("refused", F.lit(refused))
+
+
 # Streaming and stages over tables
 
 
+@registered
+def tables_exist(spark, sf_dir):
+    """Which tables of a lake exist, before and after its stages."""
+    lake = _lake(spark)
+    before = existing_tables(spark, lake)
+    sinks.create_if_absent(reference(spark, sf_dir), lake.master, lake.path(lake.master))
+    sinks.create_if_absent(telemetry(spark, sf_dir), lake.bronze, lake.path(lake.bronze))
+    run_all(spark, lake, now())
+    after = existing_tables(spark, lake)
+    rows = [(n.rsplit("_", 1)[0], before[n], after[n]) for n in lake.names]
+    return spark.createDataFrame(rows, "table_name STRING, before BOOLEAN, after BOOLEAN")
+
+
+@registered
+def increments_over_tables(spark, sf_dir):
+    """Three slices through all incremental stages, with a time that does not parse and a late packet."""
+    lake = _lake(spark)
+    sinks.create_if_absent(reference(spark, sf_dir), lake.master, lake.path(lake.master))
+    rows = telemetry(spark, sf_dir).withColumn(
+        "timestamp", F.when(F.col("eventhub_offset") % 401 == 0, F.lit("garbage")).otherwise(F.col("timestamp"))
+    )
+    late = F.col("seq_num") % 97 == 0
+    rows = cut_lineage(rows.withColumn("_slice", F.when(late, 2).otherwise(
+        F.when(F.col("eventhub_enqueued_time") < F.lit("2024-01-11").cast("timestamp"), 0)
+        .when(F.col("eventhub_enqueued_time") < F.lit("2024-01-21").cast("timestamp"), 1).otherwise(2)
+    )))
+    for step in range(3):
+        # Records without a time arrive with the last slice, as the NULL day is inserted by each run.
+        undated = F.col("timestamp") == "garbage"
+        part = rows.filter(((F.col("_slice") == step) & ~undated) | (undated & F.lit(step == 2))).drop("_slice")
+        at = F.date_add(F.lit(NOW).cast("date"), step).cast("timestamp")
+        run_increment(spark, lake, part, at)
+    return table(spark, lake.kpi).select("kpi_date", *ZONE_KEYS, "reading_count", "anomaly_reading_count", "avg_ph", "health_score")
+
+
+def _lake(spark) -> Lake:
+    tag = uuid.uuid4().hex
+    names = ("master", "bronze", "silver", "invalid", "current", "alerts", "kpi")
+    return Lake(scratch_path(spark, "lake"), *[f"{n}_{tag}" for n in names])
+
+
 @registered
 def stream_ingest(spark, sf_dir):
     source, raw, checkpoint = (scratch_path(spark, n) for n in ("events", "bronze", "bronze-progress"))
@@ -549,12 +643,22 @@ def stream_restart(spark, sf_dir):
     return spark.createDataFrame(counts, "run STRING, rows_read BIGINT, rows_in_table BIGINT")
 
 
+@registered
+def stream_backlog(spark, sf_dir):
+    """A backlog of more batches than a query keeps reports of, one file each."""
+    source, raw, checkpoint = (scratch_path(spark, n) for n in ("events", "bronze", "bronze-progress"))
+    envelope(telemetry(spark, sf_dir)).repartition(110, "offset").write.parquet(source)
+    arriving = read_event_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, path=source)
+    run = ingest(arriving, raw, checkpoint, now())
+    return spark.createDataFrame(
+        [(rows_read(run), len(run.rows_by_batch) > 100)], "rows_read BIGINT, more_than_kept BOOLEAN"
+    )
+
+
 @registered
 def silver_in_slices(spark, sf_dir):
     """Raw rows delivered in three parts; each stream run publishes what is new."""
-    tag = uuid.uuid4().hex
-    root = scratch_path(spark, "lake")
-    lake = Lake(root, *[f"{n}_{tag}" for n in ("master", "bronze", "silver", "invalid", "current", "alerts", "kpi")])
+    lake = _lake(spark)
     sinks.create_if_absent(reference(spark, sf_dir), lake.master, lake.path(lake.master))
     raw, checkpoint = lake.path(lake.bronze), scratch_path(spark, "silver-progress")
     rows = telemetry(spark, sf_dir)
@@ -573,9 +677,7 @@ def silver_in_slices(spark, sf_dir):
 @registered
 def stages_over_tables(spark, sf_dir):
     """All stages over catalog tables, twice: the second run adds no rows."""
-    tag = uuid.uuid4().hex
-    lake = Lake(scratch_path(spark, "lake"), *[f"{n}_{tag}" for n in (
-        "master", "bronze", "silver", "invalid", "current", "alerts", "kpi")])
+    lake = _lake(spark)
     sinks.create_if_absent(reference(spark, sf_dir), lake.master, lake.path(lake.master))
     sinks.create_if_absent(telemetry(spark, sf_dir), lake.bronze, lake.path(lake.bronze))
     run_all(spark, lake, now())

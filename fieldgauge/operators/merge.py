@@ -13,7 +13,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldgauge.operators.enrich import BROADCAST_ROWS, bounded_broadcast
+from fieldgauge.operators.enrich import BROADCAST_ROWS, bounded_broadcast, is_small
 from fieldgauge.operators.grouping import duplicate_keys
 
 Cut = Callable[[DataFrame], DataFrame]
@@ -39,8 +39,7 @@ def unseen_rows_late(
     compared, and the wide rows are then picked by the few new keys, again without a shuffle if
     these are proved few. Rows with a NULL in the key match nothing and are all new.
     """
-    small = source.select(*keys).limit(broadcast_rows + 1).count() <= broadcast_rows
-    if small:
+    if is_small(source.select(*keys), broadcast_rows):
         return unseen_rows(matched_keys(target, F.broadcast(source.select(*keys)), keys), source, keys)
     complete = " AND ".join(f"{k} IS NOT NULL" for k in keys)
     new_keys = cut(unseen_rows(target, source.select(*keys).filter(complete), keys).distinct())

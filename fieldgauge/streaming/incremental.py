@@ -121,29 +121,39 @@ def current_increment(spark: SparkSession, lake: Lake, now: Column) -> None:
     upsert(cut_lineage(current_status(candidates, now)), lake.current, lake.path(lake.current), ZONE_KEYS)
 
 
-def kpi_increment(spark: SparkSession, lake: Lake, now: Column) -> None:
+def kpi_increment(spark: SparkSession, lake: Lake, now: Column, drop_null_date: bool = False) -> None:
     """KPIs of the zone days with new readings, from all their readings.
 
     The days are a semi-join; their time range, a day wider on both sides for the zones' offsets,
-    is pushed to the scan as well. Readings without a time have no day and are left out.
+    is pushed to the scan as well. Readings whose time could not be parsed, or whose zone has no time
+    zone, are a day of their own, the NULL one, as in a full run; ``drop_null_date`` leaves it out there
+    and here.
     """
     silver = table(spark, lake.silver)
     touched = cut_lineage(
         local_day(_processed_since(silver, _since(spark, lake.kpi))).select(*KPI_KEYS).distinct()
     )
-    first, last = touched.agg(F.min("kpi_date"), F.max("kpi_date")).first()
-    if first is None:
+    first, last, undated = touched.agg(
+        F.min("kpi_date"), F.max("kpi_date"), F.count_if(F.col("kpi_date").isNull())
+    ).first()
+    near = F.lit(False)
+    if first is not None:
+        near = (F.col("event_timestamp") >= F.date_sub(F.lit(first), 1).cast("timestamp")) & (
+            F.col("event_timestamp") < F.date_add(F.lit(last), 2).cast("timestamp")
+        )
+    if undated and not drop_null_date:
+        near = near | F.col("event_timestamp").isNull() | F.col("timezone").isNull()
+    elif first is None:
         return
-    near = silver.filter(
-        (F.col("event_timestamp") >= F.date_sub(F.lit(first), 1).cast("timestamp"))
-        & (F.col("event_timestamp") < F.date_add(F.lit(last), 2).cast("timestamp"))
-    )
+    days = bounded_broadcast(touched.select(*[F.col(k).alias(f"_{k}") for k in KPI_KEYS]))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KPI_KEYS]
     of_days = (
-        near.withColumn("kpi_date", X.local_date("event_timestamp", "timezone"))
-        .join(bounded_broadcast(touched), list(KPI_KEYS), "left_semi")
+        silver.filter(near)
+        .withColumn("kpi_date", X.local_date("event_timestamp", "timezone"))
+        .join(days, same, "left_semi")
         .select(*silver.columns)
     )
-    upsert(cut_lineage(daily_kpi(of_days, now)), lake.kpi, lake.path(lake.kpi), KPI_KEYS)
+    upsert(cut_lineage(daily_kpi(of_days, now, drop_null_date)), lake.kpi, lake.path(lake.kpi), KPI_KEYS)
 
 
 def run_increment(spark: SparkSession, lake: Lake, batch: DataFrame, now: Column | None = None) -> None:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -10,27 +11,58 @@ from pyspark.sql.streaming import StreamingQuery
 from fieldgauge.sources.readers import table_exists, to_bronze
 
 
-def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
+RETAINED = "spark.sql.streaming.numRecentProgressUpdates"
+#: Reports that a running query keeps, and seconds between two looks at them.
+REPORTS_KEPT = 10_000
+POLL_SECONDS = 1.0
+
+
+@dataclass
+class IngestRun:
+    """A finished run and the source rows of each of its batches."""
+
+    query: StreamingQuery
+    rows_by_batch: dict[int, int]
+
+
+def _followed(query: StreamingQuery) -> IngestRun:
+    """Wait for the end and add up all batches, of which a query only keeps the last reports."""
+    rows: dict[int, int] = {}
+    ended = False
+    while not ended:
+        ended = bool(query.awaitTermination(POLL_SECONDS))
+        rows.update({progress.batchId: progress.numInputRows for progress in query.recentProgress})
+    if rows and len(rows) != max(rows) - min(rows) + 1:
+        raise RuntimeError(f"reports of {max(rows) - min(rows) + 1 - len(rows)} batches were missed")
+    return IngestRun(query, rows)
+
+
+def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> IngestRun:
     """Append everything that is new since the checkpoint, then stop. Waits for the end."""
-    query = (
-        df.writeStream.format(fmt)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start(path)
-    )
-    query.awaitTermination()
-    return query
+    conf = df.sparkSession.conf
+    kept = conf.get(RETAINED, None)
+    conf.set(RETAINED, str(max(REPORTS_KEPT, int(kept or 0))))
+    try:
+        query = (
+            df.writeStream.format(fmt)
+            .outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start(path)
+        )
+    finally:
+        conf.set(RETAINED, kept) if kept is not None else conf.unset(RETAINED)
+    return _followed(query)
 
 
-def ingest(events: DataFrame, path: str, checkpoint: str, now: Column | None = None) -> StreamingQuery:
+def ingest(events: DataFrame, path: str, checkpoint: str, now: Column | None = None) -> IngestRun:
     """Parse an event stream and append it to the raw table at ``path``."""
     return append_stream(to_bronze(events, now), path, checkpoint)
 
 
-def rows_read(query: StreamingQuery) -> int:
-    """Source rows of a finished run, from its own progress reports."""
-    return sum(progress.numInputRows for progress in query.recentProgress)
+def rows_read(run: IngestRun) -> int:
+    """Source rows of a finished run, over all its batches."""
+    return sum(run.rows_by_batch.values())
 
 
 def for_each_run(
