@@ -50,9 +50,9 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet
             .trigger(availableNow=True)
             .start(path)
         )
-    finally:
+        return _followed(query)
+    finally:  # a running query looks the setting up at each batch
         conf.set(RETAINED, kept) if kept is not None else conf.unset(RETAINED)
-    return _followed(query)
 
 
 def ingest(events: DataFrame, path: str, checkpoint: str, now: Column | None = None) -> IngestRun:

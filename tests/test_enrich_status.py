@@ -3,7 +3,7 @@ from tests.data import ZONE, at, bronze, master, record
 
 from pyspark.sql import functions as F
 
-from fieldgauge.operators.enrich import MATCHED, enrich, flag_matched, unmatched
+from fieldgauge.operators.enrich import enrich, flag_matched, is_small, MATCHED, unmatched
 from fieldgauge.operators.status import grade
 from fieldgauge.plans.silver import build_silver
 
@@ -21,8 +21,8 @@ NORMAL = (6.5, 1.5, 21.0, 19.0, 65.0, 7.5)
 
 
 def test_bounds_are_inclusive_and_oxygen_has_no_upper_bound(spark):
-    low_edge = (6.0, 1.2, 18.0, 16.5, 55.0, 6.0)
-    high_edge = (7.0, 1.8, 24.0, 22.0, 75.0, 99.0)
+    low_edge = (5.9, 1.3, 17.5, 16.0, 56.0, 5.8)
+    high_edge = (6.9, 1.9, 23.5, 22.5, 74.0, 99.0)
     rows = graded(spark, NORMAL, low_edge, high_edge).collect()
     assert {(r.anomaly_count, r.is_anomaly, r.severity, r.overall_status) for r in rows} == {(0, False, "NONE", "HEALTHY")}
 
@@ -30,10 +30,10 @@ def test_bounds_are_inclusive_and_oxygen_has_no_upper_bound(spark):
 @pytest.mark.parametrize(
     "reading, count, severity, overall",
     [
-        ((5.9, 1.5, 21.0, 19.0, 65.0, 7.5), 1, "LOW", "ATTENTION"),
-        ((5.9, 1.9, 21.0, 19.0, 65.0, 7.5), 2, "MEDIUM", "ATTENTION"),
-        ((5.9, 1.9, 25.0, 19.0, 65.0, 7.5), 3, "HIGH", "CRITICAL"),
-        ((7.1, 1.1, 17.0, 23.0, 80.0, 5.9), 6, "HIGH", "CRITICAL"),
+        ((5.8, 1.5, 21.0, 19.0, 65.0, 7.5), 1, "LOW", "ATTENTION"),
+        ((5.8, 2.0, 21.0, 19.0, 65.0, 7.5), 2, "MEDIUM", "ATTENTION"),
+        ((5.8, 2.0, 25.0, 19.0, 65.0, 7.5), 3, "HIGH", "CRITICAL"),
+        ((7.1, 1.1, 17.0, 23.0, 80.0, 5.7), 6, "HIGH", "CRITICAL"),
     ],
 )
 def test_severity_follows_the_number_of_abnormal_metrics(spark, reading, count, severity, overall):
@@ -64,19 +64,6 @@ def test_doubled_dimension_key_is_an_error_that_names_it(spark):
         enrich(facts, master(spark, {}, {"location": "Dallas"}))
 
 
-def test_small_dimension_is_broadcast_and_a_large_one_is_not(spark):
-    facts = spark.range(1000).selectExpr("concat('F', id % 3) AS farm_id", "'Z1' AS zone_id", "id")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        small = enrich(facts, master(spark))
-        large = enrich(facts, master(spark), broadcast_rows=0)
-        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
-        assert small.count() == large.count() == 1000
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_silver_order_of_stages(spark):
     rows = [
         record(1), record(2), record(2, eventhub_offset=50),
@@ -96,3 +83,19 @@ def test_silver_order_of_stages(spark):
 
 def test_alert_thresholds_come_from_the_zone(spark):
     assert graded(spark, NORMAL).select(F.col("ph_min")).first()[0] == ZONE["ph_min"]
+
+
+def test_a_large_dimension_is_joined_by_shuffle_and_staged(spark):
+    facts = spark.range(100).selectExpr("id % 10 AS k", "id")
+    wide = spark.range(10).selectExpr("id AS k", "repeat('x', 1000) AS text")
+    small = enrich(facts, wide, ["k"])
+    assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
+    staged = enrich(facts, wide, ["k"], broadcast_rows=5)
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Exchange" not in plan
+    assert staged.count() == 100 and staged.columns == small.columns
+
+
+def test_size_proofs_look_at_rows_and_bytes(spark):
+    rows = spark.range(10).selectExpr("id", "repeat('x', 1000) AS text")
+    assert is_small(rows) and not is_small(rows, max_rows=9) and not is_small(rows, max_bytes=5_000)

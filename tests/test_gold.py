@@ -35,9 +35,9 @@ def step(alerts, spark, n, **changes):
 def test_conditions_are_one_row_per_abnormal_metric(spark):
     found = current_alert_conditions(current(spark, 1, ph=5.0, dissolved_oxygen_mg_l=1.0, humidity_pct=90.0)).collect()
     assert {(r.alert_type, r.current_value, r.min_threshold, r.max_threshold, r.severity) for r in found} == {
-        ("PH_LOW", 5.0, 6.0, 7.0, "HIGH"),
-        ("DISSOLVED_OXYGEN_LOW", 1.0, 6.0, None, "HIGH"),
-        ("HUMIDITY_HIGH", 90.0, 55.0, 75.0, "HIGH"),
+        ("PH_LOW", 5.0, 5.9, 6.9, "HIGH"),
+        ("DISSOLVED_OXYGEN_LOW", 1.0, 5.8, None, "HIGH"),
+        ("HUMIDITY_HIGH", 90.0, 56.0, 74.0, "HIGH"),
     }
     forged = current(spark, 1).withColumn("do_status", F.lit("HIGH"))
     assert current_alert_conditions(forged).count() == 0

@@ -147,3 +147,29 @@ def test_stream_reads_each_event_once_and_feeds_silver(spark, lake, tmp_path):
     assert ids.count() == ids.distinct().count() > 0
     in_raw = read_path(spark, raw).filter(F.col("zone_id") != "Z9").filter("ph <= 14 AND humidity_pct IS NOT NULL")
     assert ids.count() == in_raw.select("event_id").distinct().count()
+
+
+def test_readings_without_a_time_keep_their_day_in_increments(spark, lake):
+    rows = [*telemetry(7, 60), record(500, timestamp="garbage")]
+    sinks.publish_snapshot(master(spark, *ZONES), lake.master, lake.path(lake.master))
+    run_increment(spark, lake, bronze(spark, rows[:15]), at("2024-04-01"))
+    run_increment(spark, lake, bronze(spark, rows[15:]), at("2024-04-02"))
+    everything = daily_kpi(table(spark, lake.silver), at("2024-04-01")).drop("gold_updated_at")
+    expected = sorted((tuple(r) for r in everything.select(*sorted(everything.columns)).collect()), key=str)
+    assert content(spark, lake.kpi, "gold_updated_at") == expected
+    assert table(spark, lake.silver).filter("event_timestamp IS NULL").count() == table(spark, lake.kpi).filter(
+        "kpi_date IS NULL").first()["reading_count"] == 1
+
+
+def test_all_batches_are_counted_whatever_a_session_keeps(spark):
+    source, raw, checkpoint = (scratch_path(spark, n) for n in ("events", "raw", "progress"))
+    rows = bronze(spark, telemetry(8, 60))
+    envelope(rows).repartition(9).write.parquet(source)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        arriving = read_event_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, path=source)
+        run = ingest(arriving, raw, checkpoint, at("2024-04-01"))
+        assert spark.conf.get("spark.sql.streaming.numRecentProgressUpdates") == "3"
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert rows_read(run) == rows.count() and len(run.rows_by_batch) >= 9
