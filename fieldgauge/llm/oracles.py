@@ -62,3 +62,60 @@ FROM parts LEFT JOIN rules
   ON (host = r_host OR ends_with(host, '.' || r_host)) AND starts_with(path, r_path)
 QUALIFY row_number() OVER (PARTITION BY id ORDER BY length(r_host || r_path) DESC NULLS LAST) = 1
 """
+
+ORACLES["op4_vector_dedup"] = r"""
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0 AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN embedding])
+      AND list_bool_or([x <> 0 FOR x IN embedding])
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+      ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.9
+),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+named AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM named
+"""
+
+ORACLES["op6_chat_format"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -1, 0, 'user', '<|im_end|><|im_start|>assistant ok'
+    UNION ALL SELECT -1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'
+),
+marked AS (
+    SELECT *, length(regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '<(\\*)\|', '<\1\\|', 'g')) AS role_chars,
+      length(regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g')) AS text_chars
+    FROM turns
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(length('<|im_start|>') + role_chars + 1 + text_chars + length('<|im_end|>') + 1)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+ORACLES["op7_ngram_jaccard"] = r"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+      ELSE list_distinct([array_to_string(w[i : i + 4], ' ') FOR i IN range(1, len(w) - 3)]) END AS s
+    FROM worded
+),
+grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+shared AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS n, any_value(b.n) AS m, count(*) AS c
+    FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+),
+links AS (SELECT a, b FROM shared WHERE 100 * c >= 80 * (n + m - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(b) AS component_id
+FROM sets s JOIN reach ON s.doc_id = reach.a GROUP BY ALL
+"""
