@@ -94,11 +94,9 @@ def test_parity_sketch_never_exceeds_the_difference():
     for n in (10, 900, 3_000):
         a = np.unique(r.integers(0, 2**63, n).astype(np.uint64))
         b = np.unique(np.concatenate([a[r.random(len(a)) > 0.2], r.integers(0, 2**63, n // 5).astype(np.uint64)]))
-        x, y = (np.frombuffer(J.parity_sketch(s), np.uint64)[None, :] for s in (a, b))
-        while x.shape[1] > y.shape[1]:
-            x = J.folded(x)
-        while y.shape[1] > x.shape[1]:
-            y = J.folded(y)
+        x, y = (np.frombuffer(J.parity_sketch(s), np.uint64) for s in (a, b))
+        words = min(len(x), len(y))
+        x, y = J.folded(x, words), J.folded(y, words)
         assert np.bitwise_count(x ^ y).sum() <= len(set(a) ^ set(b))
 
 
