@@ -48,8 +48,8 @@ def publish_snapshot(df: DataFrame, name: str, base: str, fmt: str = "parquet")
     """Write ``df`` to a new folder below ``base``, then point the table at it.
 
     ``df`` may read the table it replaces: readers and this job keep the old folder until the
-    catalog switches, and a lost executor only repeats tasks of the new one. Old folders stay for
-    the owner to expire.
+    catalog switches, and a lost executor only repeats tasks of the new one. Old folders stay
+    until ``drop_superseded`` is called, as readers may still be at work on them.
     """
     spark = df.sparkSession
     path = f"{base.rstrip('/')}/snapshot-{uuid.uuid4().hex}"
@@ -62,6 +62,22 @@ def publish_snapshot(df: DataFrame, name: str, base: str, fmt: str = "parquet")
     return path
 
 
+def drop_superseded(spark: SparkSession, name: str, base: str) -> int:
+    """Delete the snapshots below ``base`` that the table no longer points at; how many there were.
+
+    For the owner to call when no reader of an older snapshot is left.
+    """
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+    current = described["data_type"].rstrip("/").rsplit("/", 1)[-1]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    snapshots = [status.getPath() for status in files.listStatus(folder)]
+    old = [p for p in snapshots if p.getName().startswith("snapshot-") and p.getName() != current]
+    for path in old:
+        files.delete(path, True)
+    return len(old)
+
+
 def supports_merge(spark: SparkSession, name: str) -> bool:
     """True if the table's format takes row-level changes."""
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter(F.col("col_name") == "Provider")

@@ -98,11 +98,13 @@ def _processed_since(silver: DataFrame, since: Column | None) -> DataFrame:
 def current_increment(spark: SparkSession, lake: Lake, now: Column) -> None:
     """Latest state of the zones with new readings.
 
-    Silver rows never change, so the newest row of a zone is not older than its published state:
-    only rows from the oldest of these states on are read.
+    Silver rows never change, so the newest row of a zone is not older than its published state: of
+    published zones only rows from the oldest of these states on are read. A zone without a published
+    state had no reading before the last update, so of new zones only rows processed since are.
     """
     silver = table(spark, lake.silver)
-    zones = _processed_since(silver, _since(spark, lake.current)).select(*ZONE_KEYS).distinct()
+    since = _since(spark, lake.current)
+    zones = _processed_since(silver, since).select(*ZONE_KEYS).distinct()
     if table_exists(spark, lake.current):
         published = table(spark, lake.current).select(*ZONE_KEYS, F.col("last_reading_at").alias("_from"))
         zones = zones.join(published, list(ZONE_KEYS), "left")
@@ -111,8 +113,11 @@ def current_increment(spark: SparkSession, lake: Lake, now: Column) -> None:
     zones = cut_lineage(zones)
     oldest, unknown = zones.agg(F.min("_from").cast("string"), F.count_if(F.col("_from").isNull())).first()
     near = silver
-    if oldest is not None and not unknown:
-        near = silver.filter(F.col("event_timestamp") >= F.lit(oldest).cast("timestamp"))
+    if since is not None:
+        recent = F.col("silver_processed_at") >= since if unknown else F.lit(False)
+        if oldest is not None:
+            recent = recent | (F.col("event_timestamp") >= F.lit(oldest).cast("timestamp"))
+        near = silver.filter(recent)
     candidates = (
         near.join(bounded_broadcast(zones), list(ZONE_KEYS))
         .filter("_from IS NULL OR event_timestamp >= _from")

@@ -110,3 +110,12 @@ def test_tables_exist_or_not(spark, lake):
 def test_scratch_paths_lie_in_the_configured_folder(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert Lake("root/").path("t") == "root/t"
+
+
+def test_superseded_snapshots_go_when_asked(spark, lake):
+    base, name = lake.path("t"), lake.kpi
+    for n in (1, 2, 3):
+        sinks.publish_snapshot(spark.range(n), name, base)
+    assert sinks.drop_superseded(spark, name, base) == 2
+    assert table(spark, name).count() == 3
+    assert sinks.drop_superseded(spark, name, base) == 0

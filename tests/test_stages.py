@@ -173,3 +173,14 @@ def test_all_batches_are_counted_whatever_a_session_keeps(spark):
     finally:
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     assert rows_read(run) == rows.count() and len(run.rows_by_batch) >= 9
+
+
+def test_a_zone_that_appears_late_is_published(spark, lake):
+    sinks.publish_snapshot(master(spark, *ZONES), lake.master, lake.path(lake.master))
+    early = [record(i, zone_id="Z1") for i in range(100, 120)]
+    late = [record(i, zone_id="Z2", device_id="D2") for i in range(5)]  # older readings than those of Z1
+    for step, part in enumerate((early, late, [record(130, zone_id="Z1")])):
+        run_increment(spark, lake, bronze(spark, part), at(f"2024-04-0{step + 1}"))
+        fresh = current_status(table(spark, lake.silver), at("2024-04-01")).drop("gold_updated_at")
+        expected = sorted((tuple(r) for r in fresh.select(*sorted(fresh.columns)).collect()), key=str)
+        assert content(spark, lake.current, "gold_updated_at") == expected
