@@ -26,6 +26,8 @@ UNKNOWN = "und"
 BUCKETS = 2**15
 SAMPLE_ROWS = 5_000
 SWITCH_PENALTY = 12.0
+#: Bytes of text that are scored together; n-gram arrays take some dozen times as much.
+SLICE_BYTES = 2 * 2**20
 #: A word of one language is at most this much likelier than of another, so one odd word decides little.
 WORD_LIMIT = 8.0
 #: Languages a model holds; one bucket row of counts each.
@@ -61,10 +63,9 @@ def letter_table() -> np.ndarray:
 
 @dataclass
 class Grams:
-    """n-gram buckets of distinct words: those of word ``i`` are ``at[i]:at[i + 1]``."""
+    """n-gram buckets of distinct words, size by size: those of word ``i`` are ``at[i]:at[i + 1]``."""
 
-    buckets: np.ndarray
-    at: np.ndarray
+    by_size: list[tuple[np.ndarray, np.ndarray]]
     letters: np.ndarray
     script: np.ndarray
 
@@ -86,7 +87,7 @@ def grams_of(distinct: pa.Array, buckets: int) -> Grams:
         word[~border] * len(SCRIPT_NAMES) + scripts_of(points[~border]), minlength=n * len(SCRIPT_NAMES)
     ).reshape(n, len(SCRIPT_NAMES))
     padded = np.where(border, 0x20, points).astype(np.uint64)
-    keys, owners = [], []
+    by_size = []
     multiplier, mask = np.uint64(0x9E3779B97F4A7C15), np.uint64(buckets - 1)
     before = np.concatenate([[0x20], padded[:-1]]).astype(np.uint64) if len(padded) else padded
     rolling = np.zeros(len(padded), np.uint64)
@@ -102,17 +103,18 @@ def grams_of(distinct: pa.Array, buckets: int) -> Grams:
         fits &= word[np.clip(last, 0, max(len(padded) - 1, 0))] == word if len(padded) else fits
         if size == 1:
             fits &= before != 0x20
-        keys.append((rolling & mask)[fits].astype(np.int64))
-        owners.append(word[fits])
-    key, owner = np.concatenate(keys), np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
-    return Grams(key[order], np.searchsorted(owner[order], np.arange(n + 1)), count, table.argmax(axis=1))
+        # Words follow one another, so the n-grams of one size are in their order already.
+        by_size.append(((rolling & mask)[fits].astype(np.int64), np.searchsorted(word[fits], np.arange(n + 1))))
+    return Grams(by_size, count, table.argmax(axis=1))
 
 
 def _sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Row sums of consecutive groups, empty ones included."""
-    total = np.concatenate([np.zeros((1, values.shape[1])), np.cumsum(values, axis=0, dtype=np.float64)])
-    return total[at[1:]] - total[at[:-1]]
+    total = np.zeros((len(at) - 1, values.shape[1]), np.float32)
+    filled = np.flatnonzero(at[1:] > at[:-1])
+    if len(filled):
+        total[filled] = np.add.reduceat(values, at[:-1][filled], axis=0)
+    return total
 
 
 @dataclass
@@ -129,7 +131,7 @@ def _count_partition(languages: list[str], buckets: int):
         counts = np.zeros((len(languages), buckets + len(SCRIPT_NAMES)), np.int64)
         known = pa.array(languages, pa.string())
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 words = split_words(part.column("text"))
                 if not len(words.codes):
                     continue
@@ -138,9 +140,10 @@ def _count_partition(languages: list[str], buckets: int):
                 of_word = np.repeat(label, np.diff(words.of_text))
                 for number in np.unique(label):
                     times = np.bincount(words.codes[of_word == number], minlength=len(words.distinct))
-                    counts[number, :buckets] += np.bincount(
-                        grams.buckets, np.repeat(times, np.diff(grams.at)), minlength=buckets
-                    ).astype(np.int64)
+                    for found, at in grams.by_size:
+                        counts[number, :buckets] += np.bincount(
+                            found, np.repeat(times, np.diff(at)), minlength=buckets
+                        ).astype(np.int64)
                     counts[number, buckets:] += np.bincount(
                         grams.script, times * grams.letters, minlength=len(SCRIPT_NAMES)
                     ).astype(np.int64)
@@ -193,7 +196,7 @@ def learn(
 def word_scores(words: Words, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Scores (word, language) of distinct words, the best being 0, and their numbers of letters."""
     grams = grams_of(words.distinct, len(model.log_prob))
-    scores = _sums(model.log_prob[grams.buckets], grams.at)
+    scores = sum(_sums(model.log_prob[found], at) for found, at in grams.by_size)
     scores = np.where(model.by_script[grams.script], scores, -np.inf)
     scores = np.maximum(scores - scores.max(axis=1, keepdims=True), -WORD_LIMIT)
     scores[grams.letters == 0] = 0.0
@@ -242,7 +245,7 @@ def _predict(model: Model, penalty: float, with_spans: bool, text: str, fields:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, text, SLICE_BYTES):
                 yield label(part)
 
     def label(part: pa.RecordBatch) -> pa.RecordBatch:

@@ -29,9 +29,9 @@ from fieldgauge.llm.staging import without
 from fieldgauge.llm.words import slices, text_bytes
 
 SPACE_MARK = "▁"
-SLICE_BYTES = 6 * 2**20
+SLICE_BYTES = 3 * 2**20
 #: Bytes of distinct units that are indexed and matched together.
-BLOCK_BYTES = 2**18
+BLOCK_BYTES = 2**17
 #: Units longer than this are cut again, between characters that stand side by side in no piece.
 LONG_UNIT = 48
 CHUNK = 8

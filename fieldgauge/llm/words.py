@@ -63,7 +63,7 @@ def split_words(column: pa.Array, lower: bool = False) -> Words:
     return Words(data, offsets, starts, ends, of_text, encoded.indices.to_numpy(), encoded.dictionary)
 
 
-def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 4 * 2**20):
+def slices(batch: pa.RecordBatch, column: str, most_bytes: int = 2 * 2**20):
     """Slices of a batch with about this many bytes of text; a longer text is a slice of its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy().astype(np.int64)
     cut = np.cumsum(sizes) // most_bytes
