@@ -463,6 +463,7 @@ def jaccard_components(
             seen = pairs if seen is None else seen.unionByName(pairs)
             labels = components(links)
         groups = cut_lineage(mixed(labelled(groups, labels)))
+    # Whether or not a round found a pair to verify: leaders alone see only some of the pairs.
     rest = remaining_pairs(groups, nodes, percent)
     if seen is not None:
         met = seen.select(F.least("leader", "member").alias("leader"), F.greatest("leader", "member").alias("member"))
@@ -472,167 +473,6 @@ def jaccard_components(
         found = similar_pairs(rows, rest, ngram, percent)
         links = cut_lineage(found if links is None else links.unionByName(found))
         labels = components(links)
-    if labels is None:
-        return plain.withColumn("component", F.col("rep"))
-    return plain.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
-        "component", F.coalesce("component", "rep")
-    )
-
-
-def mixed(groups: DataFrame) -> DataFrame:
-    """Labelled rows of the tokens that sets of more than one component share."""
-    tokens = groups.groupBy("token").agg(F.min("component").alias("_least"), F.max("component").alias("_most"))
-    return groups.join(tokens.filter("_least != _most").select("token"), "token", "left_semi")
-
-
-def _not_excluded(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, m = batch.column("n").to_numpy(), batch.column("m").to_numpy()
-            most = apart_at_most(n, m, percent)
-            kept = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
-            for i in np.flatnonzero(kept):
-                a, b = (np.frombuffer(batch.column(c)[i].as_py(), np.uint64) for c in ("one", "other"))
-                words = min(len(a), len(b))
-                kept[i] = np.bitwise_count(folded(a, words) ^ folded(b, words)).sum(dtype=np.int64) <= most[i]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c).filter(pa.array(kept)) for c in ("leader", "member")], ["leader", "member"]
-            )
-
-    return run
-
-
-def possible_pairs(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs that sizes and long sketches do not exclude."""
-    leaders = nodes.select(F.col("rep").alias("leader"), "n", F.col("long").alias("one"))
-    members = nodes.select(F.col("rep").alias("member"), F.col("n").alias("m"), F.col("long").alias("other"))
-    return pairs.join(leaders, "leader").join(members, "member").select("leader", "member", "n", "m", "one", "other").mapInArrow(
-        _not_excluded(percent), "leader long, member long"
-    ).distinct()
-
-
-def leader_pairs(groups: DataFrame, turn: int, percent: int = PERCENT) -> DataFrame:
-    """``(leader, member)``: for every set the foremost leader it meets that is not of its component.
-
-    A token has a leader for each class of sizes; classes are shifted in every other turn. In the first
-    two turns the set that shares most goes first, then any.
-    """
-    order = F.col("weight") if turn < 2 else F.xxhash64(F.lit(turn), "rep")
-    size_class = F.floor(F.log(F.col("n").cast("double")) / float(np.log(100 / percent)) + 0.5 * (turn % 2)).cast("int")
-    rows = groups.withColumn("size_class", size_class).withColumn("order", order)
-    leaders = rows.groupBy("token", "size_class").agg(F.max(F.struct("order", "rep", "component")).alias("lead"))
-    met = rows.join(leaders, ["token", "size_class"]).filter("component != lead.component")
-    return met.groupBy(F.col("rep").alias("member")).agg(F.max(F.struct("lead.order", "lead.rep")).alias("lead")).select(
-        F.col("lead.rep").alias("leader"), "member"
-    )
-
-
-def _block_pairs(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs of two blocks (or within one) that may be similar, by size and sketch."""
-        for table in whole_groups(batches, ["token", "i", "j"]):
-            starts = group_starts(table, ["token", "i", "j"]).tolist() + [table.num_rows]
-            found = [x for a, b in zip(starts[:-1], starts[1:]) for x in close_pairs(table.slice(a, b - a))]
-            if found:
-                pairs = np.unique(np.concatenate(found), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["leader", "member"])
-
-    def close_pairs(block: pa.Table) -> Iterator[np.ndarray]:
-        side = block.column("side").to_numpy()
-        rep, comp, n = (block.column(c).to_numpy() for c in ("rep", "component", "n"))
-        bits = np.stack([np.frombuffer(x, np.uint64) for x in block.column("short").to_pylist()])
-        right = np.flatnonzero(side == 1)
-        for i in np.flatnonzero(side == 0):
-            others = right[(comp[right] != comp[i]) & (rep[right] > rep[i])]
-            others = others[100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i])]
-            if len(others):
-                apart = np.bitwise_count(bits[others] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                close = others[apart <= apart_at_most(n[others], n[i], percent)]
-                yield np.stack([np.full(len(close), rep[i]), rep[close]], axis=1)
-
-    return run
-
-
-def remaining_pairs(groups: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """Pairs of labelled, mixed rows that share a token, are not in one component, and may be similar.
-
-    Of tokens that the same nodes share, as those of a common passage, one is looked at. A group is cut
-    into blocks of ``BLOCK_ROWS``, and each pair of blocks is a group of its own.
-    """
-    shared_by = groups.groupBy("token").agg(
-        F.count("*").alias("rows"), F.expr("bit_xor(xxhash64(rep))").alias("print_a"),
-        F.expr("bit_xor(xxhash64('b', rep))").alias("print_b"),
-    )
-    once = cut_lineage(
-        shared_by.groupBy("rows", "print_a", "print_b").agg(F.min("token").alias("token"))
-        .select("token", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("blocks"))
-    )
-    rows = groups.join(once, "token").join(nodes.select("rep", "short"), "rep").withColumn(
-        "block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    )
-    # A row stands left in (its block, any) and right in (any, its block); pairs are taken in the order
-    # of ids, so each is met once.
-    wide = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    carried = ("rep", "component", "n", "short")
-    left = wide.select("token", F.col("block").alias("i"), F.col("other").alias("j"), F.lit(0).alias("side"), *carried)
-    right = wide.select("token", F.col("other").alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"), *carried)
-    return (
-        left.unionByName(right).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-        .mapInArrow(_block_pairs(percent), "leader long, member long").distinct()
-    )
-
-
-def jaccard_components(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ngram: int = NGRAM, percent: int = PERCENT,
-    sample_docs: int = SAMPLE_DOCS,
-) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``.
-
-    Letters A to Z are lower-cased, words are what ASCII white space separates, whole texts are read.
-    Documents link if ``100 * intersection >= percent * union``; the component is named by the least id
-    that links reach. No link is lost and no pair below the limit links (up to 64-bit hash collisions).
-
-    * A NULL, empty or blank text has no n-grams and links with nothing.
-    * A row with a NULL id links with nothing and has a NULL component.
-    * Repeated rows stay, with the same component. Of rows with one id and different texts each takes
-      the component of its own text.
-    * Other columns are left out. An empty table gives no rows.
-    """
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    context = docs.sparkSession.sparkContext
-    heavy = context.broadcast(frequent_tokens(rows, ngram, sample_docs))
-    described = cut_lineage(rows.mapInArrow(_describe(ngram, percent, heavy), DESCRIBED))
-    nodes = cut_lineage(
-        described.filter("fp IS NOT NULL AND doc_id IS NOT NULL").groupBy("fp").agg(
-            F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("short").alias("short"), F.first("long").alias("long"),
-            F.first("prefix").alias("prefix"),
-        )
-    )
-    exploded = nodes.select(F.explode("prefix").alias("token"), "n", "rep")
-    shared = cut_lineage(
-        exploded.repartition("token").sortWithinPartitions("token").mapInArrow(_groups, "token long, n long, rep long")
-    )
-    sizes = shared.groupBy("token").agg(F.count("*").alias("size"))
-    weights = shared.join(sizes, "token").groupBy("rep").agg(F.sum("size").alias("weight"))
-    groups = labelled(shared.join(cut_lineage(weights), "rep"), None)
-    links, labels, seen = None, None, None
-    for turn in range(ROUNDS):
-        pairs = cut_lineage(possible_pairs(leader_pairs(groups, turn, percent), nodes, percent))
-        if not pairs.isEmpty():
-            found = similar_pairs(rows, pairs, ngram, percent)
-            links = cut_lineage(found if links is None else links.unionByName(found))
-            seen = pairs if seen is None else seen.unionByName(pairs)
-            labels = components(links)
-        groups = cut_lineage(mixed(labelled(groups, labels)))
-    if seen is not None:
-        rest = remaining_pairs(groups, nodes, percent).join(
-            seen.select(F.least("leader", "member").alias("leader"), F.greatest("leader", "member").alias("member")),
-            ["leader", "member"], "left_anti",
-        )
-        rest = cut_lineage(possible_pairs(rest, nodes, percent))
-        if not rest.isEmpty():
-            links = cut_lineage(links.unionByName(similar_pairs(rows, rest, ngram, percent)))
-            labels = components(links)
     if labels is None:
         labels = nodes.select(F.col("rep").alias("node"), F.col("rep").alias("component"))
     of_node = cut_lineage(

@@ -76,6 +76,19 @@ def test_chain_of_links_that_no_leader_sees(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.jaccard_components(df).collect()} == brute(rows)
 
 
+def test_pairs_that_no_round_of_leaders_finds(spark, monkeypatch):
+    passage, other = [f"p{k}" for k in range(60)], [f"q{k}" for k in range(60)]
+    near = [f"a{k}" for k in range(60)]
+    rows = [(i, " ".join([*passage, *other, *[f"x{i}_{k}" for k in range(60)]])) for i in range(2, 42)]
+    rows += [(i, " ".join([*passage, *near, *near[::-1], f"end{i}"])) for i in (0, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept, real = [], J.possible_pairs
+    monkeypatch.setattr(J, "possible_pairs", lambda *a: kept.append(real(*a)) or kept[-1])
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.jaccard_components(df, sample_docs=0).collect()}
+    assert [k.count() for k in kept[: J.ROUNDS]] == [0] * J.ROUNDS
+    assert got == brute(rows) and got[1][1] == 0
+
+
 def test_trie_overlaps_against_sets():
     r = np.random.default_rng(1)
     for _ in range(60):
