@@ -35,6 +35,8 @@ NGRAM = 5
 PERCENT = 80
 #: Expected number of documents whose n-grams are counted to find frequent ones.
 SAMPLE_DOCS = 16_000
+#: Frequent n-grams that are collected and broadcast, at most (16 bytes each).
+HEAVY_TOKENS = 2**21
 #: Bits of a short parity sketch, bits per value of a long one, and bits of the table that marks nodes with candidates (8 MB).
 SKETCH_BITS = 1024
 BITS_PER_VALUE = 4
@@ -163,20 +165,31 @@ def _tokens(ngram: int):
 
 
 def frequent_tokens(docs: DataFrame, ngram: int, sample_docs: int) -> tuple[np.ndarray, np.ndarray]:
-    """n-grams that several of the sampled documents hold, with their counts there.
+    """The n-grams that most of the sampled documents hold, with their counts there.
 
+    At most ``HEAVY_TOKENS``: all of as many documents or none, so counts of counts tell where to stop.
     The order they give is the same for all documents; that they come from a sample decides how many
     candidates there are, not which links are found.
     """
     rows = docs.count()
     drawn = F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(2**20)) < 2**20 * min(1.0, sample_docs / max(rows, 1))
-    counted = (
+    counted = cut_lineage(
         docs.filter(drawn).select("text").mapInArrow(_tokens(ngram), "token long")
-        .groupBy("token").agg(F.count("*").alias("n")).filter("n > 1").toPandas()
+        .groupBy("token").agg(F.count("*").alias("n")).filter("n > 1")
     )
-    tokens = counted["token"].to_numpy(np.int64).view(np.uint64)
+    # One row per count, which is at most the number of rows in the sample.
+    least, kept = None, 0
+    for r in counted.groupBy("n").agg(F.count("*").alias("tokens")).orderBy(F.desc("n")).toLocalIterator():
+        kept += r["tokens"]
+        if kept > HEAVY_TOKENS:
+            break
+        least = r["n"]
+    if least is None:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    frequent = counted.filter(F.col("n") >= least).toPandas()
+    tokens = frequent["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(tokens)
-    return tokens[order], counted["n"].to_numpy(np.int64)[order]
+    return tokens[order], frequent["n"].to_numpy(np.int64)[order]
 
 
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -89,6 +89,18 @@ def test_pairs_that_no_round_of_leaders_finds(spark, monkeypatch):
     assert got == brute(rows) and got[1][1] == 0
 
 
+def test_frequent_tokens_are_bounded(spark, monkeypatch):
+    rows = [(i, " ".join([*"abcdefghij"[: 5 + i], *[f"x{i // 2}_{k}" for k in range(30)]])) for i in range(6)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    tokens, counts = J.frequent_tokens(df, 5, 100)
+    assert len(tokens) > 60 and (np.diff(tokens.astype(object)) > 0).all()
+    monkeypatch.setattr(J, "HEAVY_TOKENS", 4)
+    few, most = J.frequent_tokens(df, 5, 100)
+    assert sorted(most) == [3, 4, 5, 6] and set(few) <= set(tokens) and max(counts) == 6
+    monkeypatch.setattr(J, "HEAVY_TOKENS", 0)
+    assert len(J.frequent_tokens(df, 5, 100)[0]) == 0
+
+
 def test_trie_overlaps_against_sets():
     r = np.random.default_rng(1)
     for _ in range(60):
