@@ -23,6 +23,8 @@ FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mademoiselle", "Señora
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _NAME = r"\p{Lu}\p{Ll}{1,30}"
+_IP = rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[\p{{L}}\p{{N}}])"
+_OTHER = rf"{_IP}|\d{{3}}-\d{{2,3}}-\d{{4}}(?![\p{{L}}\p{{N}}-])"
 #: Patterns by type, in the order in which they are tried at one place. No match spans white space
 #: other than the blanks written here, and every repetition is bounded.
 PATTERNS = {
@@ -32,10 +34,18 @@ PATTERNS = {
              r"|(?<![\p{L}\p{N}+.(])\(\d{3}\) ?\d{3}[.-]\d{4}(?![\p{L}\p{N}])"
              r"|(?<![\p{L}\p{N}+.-])\d{3}-\d{3}-\d{4}(?![\p{L}\p{N}-])",
     "ssn": r"(?<![\p{L}\p{N}.-])\d{3}-\d{2}-\d{4}(?![\p{L}\p{N}-])",
-    "card": r"(?<![\p{L}\p{N}.-])\d(?:[ -]?\d){12,18}(?![\p{L}\p{N}])",
-    "ip": rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[\p{{L}}\p{{N}}])",
+    # A whole run of groups of digits, short of another type after a blank: cards are looked for within it.
+    "card": rf"(?<![\p{{L}}\p{{N}}.-])(?=\d(?:[ -]?\d){{12}})\d{{1,19}}(?:(?:-| (?!{_OTHER}))\d{{1,19}}){{0,200}}(?![\p{{L}}\p{{N}}])",
+    "ip": _IP,
     "person": rf"(?<![\p{{L}}\p{{N}}])(?:{'|'.join(MALE_TITLES + FEMALE_TITLES)})\.? {_NAME}(?: {_NAME}){{0,2}}",
 }
+# Digits a card has, and how those of that many begin.
+CARD_STARTS = {16: "(?:[3-6]|2[2-7])", 15: "3[47]", 14: "3[0689]", 13: "4", 19: "[46]"}
+#: Within a run of digits: groups that make up a card by their number of digits, from any group on, and any
+#: 13 to 19 digits one after the other.
+CARDS_WITHIN = tuple(
+    (rf"(?<!\d)(?={start})(?=(\d(?:[ -]?\d){{{n - 1}}})(?!\d))", 1) for n, start in CARD_STARTS.items()
+) + ((r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)", 0),)
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What every match contains: a text without it is not searched.
 HINT = rf"[0-9@]|(?:{'|'.join(MALE_TITLES + FEMALE_TITLES)})\.? \p{{Lu}}|(?i:token|secret|password|key) ?[=:]"
@@ -86,10 +96,13 @@ def luhn_sum(digits: Column) -> Column:
     return F.aggregate(F.transform(backwards, term), F.lit(0), lambda a, x: a + F.coalesce(x, F.lit(0)))
 
 
-def type_of(surface: Column) -> Column:
-    """Type of a match; NULL for a number that only looks like a card's."""
+def is_card(surface: Column) -> Column:
     digits = _digits(surface)
-    card = digits.rlike("^(?:[3-6]|2[2-7])") & (luhn_sum(digits) % 10 == 0)
+    return digits.rlike(r"^(?:[3-6]|2[2-7])\d{11,18}$") & F.length(digits).between(13, 19) & (luhn_sum(digits) % 10 == 0)
+
+
+def type_of(surface: Column) -> Column:
+    """Type of a match; NULL for a number that is not a card's as a whole."""
     tests = {
         "secret": surface.rlike(f"^(?:{PATTERNS['secret']})$"),
         "email": surface.contains("@"),
@@ -101,7 +114,7 @@ def type_of(surface: Column) -> Column:
     found = F.when(F.lit(False), F.lit(""))
     for name, test in tests.items():
         found = found.when(test, F.lit(name))
-    return found.when(card, F.lit("card"))
+    return found.when(is_card(surface), F.lit("card"))
 
 
 def _gender(surface: Column) -> Column:
@@ -241,12 +254,39 @@ def rendered(kind: Column, surface: Column, made: Column) -> Column:
     )
 
 
-def mentions(text: Column) -> Column:
+def matches(text: Column) -> Column:
     """All matches in a text, in order; none if nothing in it hints at one."""
     none = F.array().cast("array<string>")
     return F.when(text.rlike(HINT), F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(none)
 
 
+def _is_run(surface: Column) -> Column:
+    """Whether a match is digits that are no entity as a whole."""
+    return surface.rlike(r"^\d[\d -]*$") & type_of(surface).isNull()
+
+
+def _card_pattern(run: Column) -> Column:
+    """A pattern of the valid cards within a run of digits, longer ones first; it matches nothing if there is none."""
+    windows = F.concat(*[F.regexp_extract_all(run, F.lit(p), F.lit(group)) for p, group in CARDS_WITHIN])
+    valid = F.array_sort(
+        F.filter(F.array_distinct(windows), is_card), lambda a, b: F.length(b) - F.length(a)
+    )
+    return _let(valid, lambda v: F.when(F.size(v) > 0, F.concat(F.lit(r"(?<!\d)(?:"), F.array_join(v, "|"), F.lit(r")(?!\d)"))).otherwise("(?!)"))
+
+
+def _within(found: Column) -> Column:
+    """Matches, with runs of digits replaced by the cards in them."""
+    def cards(run):
+        return _let(_card_pattern(run), lambda p: F.regexp_extract_all(run, p, F.lit(0)))
+
+    return F.flatten(F.transform(found, lambda s: F.when(_is_run(s), cards(s)).otherwise(F.array(s))))
+
+
+def mentions(text: Column) -> Column:
+    """All mentions of entities in a text, in order, and what else matches."""
+    return _within(matches(text))
+
+
 def entities(docs: DataFrame, text: str = "text") -> DataFrame:
     """Distinct ``(kind, norm)`` of the corpus."""
     surface = docs.select(F.explode(F.array_distinct(mentions(F.col(text)))).alias("surface")).distinct()
@@ -284,7 +324,8 @@ def pseudonymise(docs: DataFrame, key: str = "surrogates", text: str = "text", a
     """Every row with the personal data in ``text`` replaced and ``n_replaced`` mentions counted.
 
     * Equal mentions get equal surrogates everywhere, different entities different ones.
-    * Numbers that fail the card check are left alone, as is any text without a match.
+    * Numbers that fail the card check are left alone, as is any text without a match. Of digits in groups
+      that fail as a whole, those are replaced that are a valid card by themselves.
     * A NULL text stays NULL, an empty one empty, both with 0 replaced. Repeated rows are treated alike.
     * Texts are searched whole. They are not shuffled, unless so many entities clash that their
       attempts cannot be broadcast.
@@ -293,7 +334,7 @@ def pseudonymise(docs: DataFrame, key: str = "surrogates", text: str = "text", a
     kept = without(docs, "n_replaced")
     settled = settle(entities(kept, text), key, attempts)
     late = cut_lineage(settled.filter("attempt > 0").select("kind", "norm", "attempt"))
-    rows = kept.withColumn("_found", mentions(F.col(text)))
+    rows = kept.withColumn("_found", matches(F.col(text)))
     if late.isEmpty():
         rows = rows.withColumn("_late", F.lit(None).cast("map<string,int>"))
     else:
@@ -307,6 +348,14 @@ def pseudonymise(docs: DataFrame, key: str = "surrogates", text: str = "text", a
         ).drop("_print")
 
     def replace(surface):
+        return F.when(_is_run(surface), _let(_card_pattern(surface), lambda p: joined(
+            F.split(surface, p, -1), F.regexp_extract_all(surface, p, F.lit(0)), replace_one
+        ))).otherwise(replace_one(surface))
+
+    def joined(between, found, change):
+        return F.array_join(F.zip_with(between, F.transform(found, change), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+
+    def replace_one(surface):
         typed = F.struct(surface.alias("surface"), type_of(surface).alias("kind"))
         return _let(typed, lambda t: F.when(t["kind"].isNull(), t["surface"]).otherwise(named(t)))
 
@@ -318,11 +367,8 @@ def pseudonymise(docs: DataFrame, key: str = "surrogates", text: str = "text", a
         attempt = F.coalesce(F.try_element_at(F.col("_late"), F.concat_ws("\u0001", w["kind"], w["norm"])), F.lit(0))
         return _let(core(key, w["kind"], w["norm"], attempt), lambda m: rendered(w["kind"], w["surface"], m))
 
-    between = F.split(F.col(text), ANY, -1)
-    rewritten = F.array_join(
-        F.zip_with(between, F.transform("_found", replace), lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), ""
-    )
-    count = F.size(F.filter("_found", lambda s: type_of(s).isNotNull()))
+    rewritten = joined(F.split(F.col(text), ANY, -1), F.col("_found"), replace)
+    count = F.size(F.filter(_within(F.col("_found")), lambda s: type_of(s).isNotNull()))
     changed = F.when(F.size("_found") > 0, rewritten).otherwise(F.col(text))
     names = [F.col(f"`{c}`") if c != text else changed.alias(text) for c in kept.columns]
     return rows.select(*names, count.alias("n_replaced"))

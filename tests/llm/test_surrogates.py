@@ -48,6 +48,20 @@ def test_what_only_looks_like_an_entity_stays(spark):
     assert [r["text"] for r in rows] == texts and not any(r["n_replaced"] for r in rows)
 
 
+def test_cards_among_other_digits(spark):
+    card, spaced = "4111111111111111", "4111 1111 1111 1111"
+    cases = [(f"a {spaced} 123.", spaced), (f"{card} 12/27", card), (f"12 {card}", card), (f"2024-12-01 {spaced} 7", spaced), (f"12-{card}", card),
+             (f"{card}-737 x", card), ("378282246310005 1234", "378282246310005"), (f"{spaced} 2nd", spaced)]
+    others = [f"{card} 152.143.123.131", f"{card} 123-45-6789", f"{card} 555-123-4567", f"{spaced} 5555 5555 5555 4444", f"{card}-5555555555554444"]
+    rows = replaced(spark, [t for t, _ in cases] + others + ["1234 5678 " * 300])
+    for (text, found), row in zip(cases, rows):
+        before, after = text.split(found)
+        made = row["text"][len(before) : len(before) + len(found)]
+        assert row["n_replaced"] == 1 and row["text"] == before + made + after and made != found and luhn(re.sub(r"\D", "", made)), text
+    for text, row in zip(others, rows[len(cases) :]):
+        assert row["n_replaced"] == 2 and not any(part in row["text"] for part in (card, spaced, "152.143", "45-6789", "123-4567", "5555")), text
+
+
 def test_distinct_entities_get_distinct_surrogates(spark):
     numbers = [f"{i:03d}-11-{i:04d}" for i in range(400)]
     made = re.findall(r"\d{3}-\d{2}-\d{4}", " ".join(r["text"] for r in replaced(spark, [f"id {n}" for n in numbers])))
