@@ -22,13 +22,17 @@ MALE_TITLES = ("Mr", "Sir", "Herr", "Monsieur", "Señor", "Sr")
 FEMALE_TITLES = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mademoiselle", "Señora", "Señorita", "Sra")
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_NAME = r"\p{Lu}\p{Ll}{1,30}"
+# A name: capitals and apostrophes (O'Brien, McDonald) and hyphened parts inside, initials before it.
+_NAME = (
+    r"(?:\p{Lu}\. ?){0,3}(?:\p{Lu}['’])?\p{Lu}[\p{Ll}\p{M}][\p{L}\p{M}]{0,60}"
+    r"(?:['’]\p{Lu}[\p{L}\p{M}]{0,60}|-\p{L}[\p{L}\p{M}]{0,60}){0,4}(?![\p{L}\p{M}])"
+)
 _IP = rf"(?<![\p{{L}}\p{{N}}.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[\p{{L}}\p{{N}}])"
 _OTHER = rf"{_IP}|\d{{3}}-\d{{2,3}}-\d{{4}}(?![\p{{L}}\p{{N}}-])"
 #: Patterns by type, in the order in which they are tried at one place. No match spans white space
 #: other than the blanks written here, and every repetition is bounded.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._+-])[\p{L}\p{N}][\p{L}\p{N}._+-]{0,63}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
+    "email": r"(?<![\p{L}\p{N}])[\p{L}\p{N}][\p{L}\p{N}._+-]{0,63}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
     "secret": r"(?i:token|secret|password|api_?key)(?: ?[=:] ?)[\"'][\x21\x23-\x26\x28-\x7E]{8,128}[\"']",
     "phone": r"(?<![\p{L}\p{N}+.])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}(?![\p{L}\p{N}])"
              r"|(?<![\p{L}\p{N}+.(])\(\d{3}\) ?\d{3}[.-]\d{4}(?![\p{L}\p{N}])"

@@ -62,6 +62,20 @@ def test_cards_among_other_digits(spark):
         assert row["n_replaced"] == 2 and not any(part in row["text"] for part in (card, spaced, "152.143", "45-6789", "123-4567", "5555")), text
 
 
+def test_whole_names_and_addresses(spark):
+    names = ["Mr McDonald", "Ms Anna Smith-Jones", "Mrs O'Brien", "Mr J. Smith", "Sir J.R. Smith", "Herr Jean-Luc O’Neill-McKay", "Frau D'Arcy"]
+    mails = ["_john@example.com_", "-john@example.com", "...john@example.com", "+john@example.com"]
+    rows = replaced(spark, [f"met {n}, then" for n in names] + [f"to {m} now" for m in mails] + ["Mr Smith's and Mr Smith. I"])
+    for name, row in zip(names, rows):
+        title, *parts = name.split(" ")
+        made = re.fullmatch(rf"met {title} ((?:[A-Z][a-z]+ ?)+), then", row["text"])
+        assert made and row["n_replaced"] == 1 and not set(re.findall(r"\w{2,}", " ".join(parts))) & set(made[1].split()), row["text"]
+    made = [re.fullmatch(r"to ([_.+-]*)([a-z]{4}@[a-z]{7}\.com)(_?) now", r["text"]) for r in rows[len(names) : -1]]
+    assert all(made) and [m[1] + "john@example.com" + m[3] for m in made] == mails and len({m[2] for m in made}) == 1 and made[0][2] != "john@example.com"
+    one, two = re.fullmatch(r"Mr (\w+)'s and Mr (\w+)\. I", rows[-1]["text"]).groups()
+    assert one == two != "Smith"
+
+
 def test_distinct_entities_get_distinct_surrogates(spark):
     numbers = [f"{i:03d}-11-{i:04d}" for i in range(400)]
     made = re.findall(r"\d{3}-\d{2}-\d{4}", " ".join(r["text"] for r in replaced(spark, [f"id {n}" for n in numbers])))
