@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldgauge.llm import chat, jaccard_join, language, mixing, pivot_dedup, sentencepiece, sharding, surrogates, tree_search, url_filter
+from fieldgauge.llm import (
+    chat, jaccard_join, language, mixing, periodic, pivot_dedup, sentencepiece, sharding, surrogates, tree_search, url_filter,
+)
 from fieldgauge.llm.shipping import ship_code
 
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
@@ -87,6 +89,42 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``, where a tenth of the documents repeats a stretch of its own words to the end.
+
+    With ``h`` the CRC-32 of the id as text and ``g = h div 10``, a document of ``n`` words with
+    ``h % 10 = 0`` repeats, from word ``a = g % n`` on, the ``1 + (n - a) div (3 + g % 8)`` words from there.
+    """
+    words = "regexp_extract_all(text, '[^\\\\x20\\\\x09-\\\\x0D]+', 0)"
+    chosen = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    placed = (
+        chosen.withColumn("words", F.expr(f"CASE WHEN h % 10 = 0 THEN {words} END"))
+        .withColumn("n", F.expr("CASE WHEN size(words) > 0 THEN size(words) END"))
+        .withColumn("a", F.expr("(h div 10) % n"))
+        .withColumn("p", F.expr("1 + (n - a) div (3 + (h div 10) % 8)"))
+    )
+    repeated = F.expr(
+        "array_join(transform(sequence(0L, n - 1L), i -> get(words, int(if(i < a, i, a + (i - a) % p)))), ' ')"
+    )
+    return placed.select("doc_id", F.when(F.col("n").isNotNull(), repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest run of each text and digests of all its runs and of the collapsed text."""
+    docs = planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.periodic_runs(docs, columns=["doc_id"])
+    longest = F.expr("array_max(transform(runs, r -> struct(r.length AS length, -r.start AS start, -r.period AS period)))")
+    listed = F.expr(r"array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), '')")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), longest.alias("top"),
+        F.sha2(listed, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    ).select(
+        "doc_id", "n_runs", (-F.col("top.start")).alias("start"), F.col("top.length").alias("length"),
+        (-F.col("top.period")).alias("period"), F.expr("1000 * top.length div -top.period").alias("exponent_milli"),
+        "runs_sha256", "collapsed_sha256",
+    )
+
+
 REGISTRY = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -98,4 +136,5 @@ REGISTRY = {
     "op8_language": op8_language,
     "op9_tree_search": op9_tree_search,
     "op10_shards": op10_shards,
+    "op12_periodic_runs": op12_periodic_runs,
 }
