@@ -119,3 +119,32 @@ reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, l
 SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(b) AS component_id
 FROM sets s JOIN reach ON s.doc_id = reach.a GROUP BY ALL
 """
+
+ORACLES["op13_quality_rules"] = r"""
+WITH docs AS (
+    SELECT doc_id, row_number() OVER () AS id, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+           list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+),
+windows AS (
+    SELECT id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS shingle
+    FROM (SELECT id, words, unnest(range(1, len(words) - 1)) AS i FROM docs)
+),
+again AS (SELECT id, i FROM windows QUALIFY count(*) OVER (PARTITION BY id, shingle) > 1),
+covered AS (SELECT id, count(DISTINCT i + k)::BIGINT AS n FROM again, range(3) AS step(k) GROUP BY id),
+measured AS (
+    SELECT doc_id, text, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars,
+           (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+           (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words,
+           len(regexp_extract_all(text, '\p{L}')) AS letters, len(regexp_extract_all(text, '\p{Lu}')) AS capitals,
+           len(regexp_extract_all(text, '(?m)^[ \t]*[-*•]')) AS items
+    FROM docs LEFT JOIN covered USING (id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 100 * n_symbols > 10 * n_words
+            OR word_chars < 2 * n_words OR word_chars > 12 * n_words OR 100 * n_dup_lines > 30 * n_lines
+            OR 100 * letters < 55 * word_chars OR 100 * capitals > 60 * letters OR 100 * items > 90 * n_lines) AS kept
+FROM measured
+"""

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldgauge.llm import (
-    chat, jaccard_join, language, mixing, periodic, pivot_dedup, sentencepiece, sharding, surrogates, tree_search, url_filter,
+    chat, jaccard_join, language, mixing, periodic, pivot_dedup, quality_rules, sentencepiece, sharding, surrogates,
+    tree_search, url_filter,
 )
 from fieldgauge.llm.shipping import ship_code
 
@@ -125,6 +126,13 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select(
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 REGISTRY = {
     "op1_mix_sources": op1_mix_sources,
     "op2_pii_surrogates": op2_pii_surrogates,
@@ -137,4 +145,5 @@ REGISTRY = {
     "op9_tree_search": op9_tree_search,
     "op10_shards": op10_shards,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_quality_rules": op13_quality_rules,
 }
