@@ -26,9 +26,9 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from fieldgauge.llm.staging import row_and_text, unpacked
 from fieldgauge.llm.words import Words, slices, split_words
 
 FOUND = "runs array<struct<start: long, length: long, period: long>>, collapsed string"
@@ -306,11 +306,8 @@ def periodic_runs(
     if min_exponent < 2 or min_length < 2:
         raise ValueError("a run has two words and two periods at least")
     names = [c for c in (docs.columns if columns is None else columns) if c.lower() not in ("runs", "collapsed")]
-    packed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names] or [F.lit(None).cast("int").alias("none")]).alias("_row"),
-        F.col(f"`{text}`").cast("string").alias("_text"),
-    )
+    packed = row_and_text(docs, text, names)
     schema = StructType([*packed.select("_row").schema.fields, *StructType.fromDDL(FOUND).fields])
     found = packed.mapInArrow(_runner("_text", min_length, min_exponent), schema)
-    return found.select(*[F.col("_row").getField(c).alias(c) for c in names], "runs", "collapsed")
+    return found.select(*unpacked(names), "runs", "collapsed")
 

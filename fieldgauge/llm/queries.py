@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldgauge.llm import (
-    chat, jaccard_join, language, mixing, periodic, pivot_dedup, quality_rules, sentencepiece, sharding, surrogates,
-    tree_search, url_filter,
+    alignment, chat, jaccard_join, language, mixing, periodic, pivot_dedup, quality_rules, sentencepiece, sharding,
+    surrogates, tree_search, url_filter,
 )
 from fieldgauge.llm.shipping import ship_code
 
@@ -18,6 +18,7 @@ EXTRA_TURNS = (
 
 
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +91,16 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_token_alignment(
+    spark: SparkSession, sf_dir: str, a_file: str = BYTE_BPE, b_file: str = PIECE_MODEL
+) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = alignment.align(docs, a_file, b_file, columns=["doc_id"], groups="sha256").documents
+    return aligned.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256")
+    )
+
+
 def planted_periods(docs: DataFrame) -> DataFrame:
     """``doc_id, text``, where a tenth of the documents repeats a stretch of its own words to the end.
 
@@ -144,6 +155,7 @@ REGISTRY = {
     "op8_language": op8_language,
     "op9_tree_search": op9_tree_search,
     "op10_shards": op10_shards,
+    "op11_token_alignment": op11_token_alignment,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_quality_rules": op13_quality_rules,
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldgauge.session import cut_lineage
 
-__all__ = ["cut_lineage", "global_rank", "small_side", "without"]
+__all__ = ["cut_lineage", "global_rank", "row_and_text", "small_side", "unpacked", "without"]
 
 #: A side of at most this many rows of a few numbers or short strings is broadcast.
 SMALL_ROWS = 100_000
@@ -50,3 +50,14 @@ def global_rank(df: DataFrame, *order: Column, name: str = "rank") -> DataFrame:
     start = F.element_at(F.array(*[F.lit(s).cast("long") for s in starts or [0]]), F.col("_part") + 1)
     within = F.col("_row").bitwiseAND(2**33 - 1)
     return placed.withColumn(name, start + within).drop("_part", "_row")
+
+
+def row_and_text(docs: DataFrame, text: str, names: list[str]) -> DataFrame:
+    """``_row`` (the columns ``names`` as a struct, whatever they are called) and ``_text``."""
+    kept = [F.col(f"`{c}`") for c in names] or [F.lit(None).cast("int").alias("none")]
+    return docs.select(F.struct(*kept).alias("_row"), F.col(f"`{text}`").cast("string").alias("_text"))
+
+
+def unpacked(names: list[str]) -> list[Column]:
+    """The columns of ``_row`` again."""
+    return [F.col("_row").getField(c).alias(c) for c in names]
