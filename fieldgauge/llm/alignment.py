@@ -37,7 +37,7 @@ from fieldgauge.llm.words import slices, text_bytes
 
 SLICE_BYTES = 4 * 2**20
 #: A block is closed when it has this many pairs of a document and two linked ids, or this many documents.
-BLOCK_ENTRIES, BLOCK_DOCS = 3_000_000, 2**15
+BLOCK_ENTRIES, BLOCK_DOCS = 2_000_000, 2**15
 #: Units are joined to about this many bytes for one call of a tokenizer.
 CALL_BYTES = 4_096
 #: Links of a group with more than this many are counted by distinct ids.
@@ -71,9 +71,43 @@ def piece_bytes(piece: str, is_byte: bool) -> bytes:
     return bytes([int(piece[3:-1], 16)]) if is_byte else piece.replace("▁", " ").encode()
 
 
+@dataclass
+class Units:
+    """Distinct units, those that may stand side by side (the first ``joinable`` ones) before all others."""
+
+    data: np.ndarray
+    at: np.ndarray
+    joinable: int
+
+    def text(self, first: int, end: int) -> bytes:
+        return self.data[self.at[first] : self.at[end]].tobytes()
+
+
+def arrange(units: pa.LargeBinaryArray) -> tuple[Units, np.ndarray]:
+    """Units in an order in which they can be joined, and the new place of each."""
+    data, at = binary_bytes(units)
+    begin, end = at[:-1], at[1:]
+    # The last character's first byte, and the byte after the space at the start.
+    lead = np.maximum.accumulate(np.where((data & 0xC0) != 0x80, np.arange(len(data)), 0))[end - 1] if len(data) else begin
+    white = WHITE_LEADS[data]
+    inner = (end - begin > 1) & ~white[lead] & ~white[np.minimum(begin + 1, len(data) - 1)] if len(begin) else np.zeros(0, bool)
+    order = np.argsort(~inner, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    data, at = binary_bytes(units.take(pa.array(order)))
+    return Units(data, at, int(inner.sum())), place
+
+
+def binary_bytes(column: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    held = column.buffers()[2]
+    data = np.frombuffer(held, np.uint8) if held is not None and held.size else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
 @dataclass
 class Tokens:
-    """Ids of consecutive units: those of unit ``i`` are ``ids[at[i]:at[i + 1]]``, ``None`` where bytes differ."""
+    """Ids of consecutive units: those of unit ``i`` are ``ids[at[i]:at[i + 1]]``, none where bytes differ."""
 
     ids: np.ndarray
     at: np.ndarray
@@ -81,61 +115,40 @@ class Tokens:
 
 
 class Encoder:
-    """One tokenizer: ids of texts that start with a space, and the length in bytes of every id."""
+    """One tokenizer: ids of texts that start with a space, and the bytes of every id."""
 
     def __init__(self, call, table: list[bytes]):
         self.call, self.table = call, table
         self.sizes = np.array([len(t) for t in table], np.int64)
-
-    def units(self, units: list[bytes]) -> Tokens:
-        """Units that may stand side by side are joined for a call; others go alone."""
-        calls, room = [], 0
-        joinable = False
-        for i, unit in enumerate(units):
-            inner = not WHITE_LEADS[_first_after_space(unit)] and not WHITE_LEADS[_last_lead(unit)]
-            if not (joinable and inner and room + len(unit) <= CALL_BYTES):
-                calls.append([])
-                room = 0
-            calls[-1].append(i)
-            room += len(unit)
-            joinable = inner
-        found = self.call([b"".join([units[i] for i in c]).decode() for c in calls])
-        ids: list[list[int]] = [[]] * len(units)
-        exact = np.ones(len(units), bool)
-        for members, tokens in zip(calls, found):
-            whole = b"".join([units[i] for i in members])
-            if len(members) == 1:
-                (i,) = members
-                exact[i] = b"".join([self.table[t] for t in tokens]) == whole
-                ids[i] = tokens if exact[i] else []
+        #: Every id as text, before a comma; and so before a mark.
+        self.listed = np.array([f"{i}," for i in range(len(table))], object)
+
+    def spells(self, tokens: list[int], text: bytes) -> bool:
+        return b"".join(map(self.table.__getitem__, tokens)) == text
+
+    def units(self, units: Units) -> Tokens:
+        """Units that may stand side by side are joined for a call; others, and those of a failed call, go alone."""
+        n, joined = len(units.at) - 1, units.joinable
+        sizes = np.diff(units.at)
+        breaks = np.flatnonzero(np.diff(units.at[:joined] // CALL_BYTES)) + 1
+        bounds = np.concatenate([[0] if joined else [], breaks, np.arange(joined, n + 1)]).astype(np.int64)
+        spans = list(zip(bounds[:-1].tolist(), bounds[1:].tolist()))
+        texts = [units.text(a, b) for a, b in spans]
+        exact, parts = np.ones(n, bool), []
+        for (a, b), text, tokens in zip(spans, texts, self.call([t.decode() for t in texts])):
+            if self.spells(tokens, text):
+                parts.append(tokens)
                 continue
-            flat = np.array(tokens, np.int64)
-            ends = np.cumsum(self.sizes[flat])
-            wanted = np.cumsum([len(units[i]) for i in members])
-            cut = np.searchsorted(ends, wanted) + 1
-            same = len(ends) > 0 and cut[-1] <= len(ends) and bool((ends[cut - 1] == wanted).all())
-            if same and b"".join([self.table[t] for t in tokens]) == whole:
-                for i, a, b in zip(members, [0, *cut[:-1].tolist()], cut.tolist()):
-                    ids[i] = tokens[a:b]
-            else:  # one of them is not given back as it is: find out which
-                alone = self.call([units[i].decode() for i in members])
-                for i, tokens in zip(members, alone):
-                    exact[i] = b"".join([self.table[t] for t in tokens]) == units[i]
-                    ids[i] = tokens if exact[i] else []
-        counts = np.array([len(x) for x in ids], np.int64)
-        flat = np.fromiter((t for x in ids for t in x), np.int64, counts.sum())
-        return Tokens(flat, np.concatenate([[0], np.cumsum(counts)]), exact)
-
-
-def _first_after_space(unit: bytes) -> int:
-    return unit[1] if len(unit) > 1 else 0
-
-
-def _last_lead(unit: bytes) -> int:
-    at = len(unit) - 1
-    while unit[at] & 0xC0 == 0x80:
-        at -= 1
-    return unit[at]
+            alone = [units.text(i, i + 1) for i in range(a, b)]
+            for i, own, tokens in zip(range(a, b), alone, self.call([t.decode() for t in alone])):
+                exact[i] = self.spells(tokens, own)
+                parts.append(tokens if exact[i] else [])
+        ids = np.concatenate([np.zeros(0, np.int64), *[np.array(p, np.int64) for p in parts]])
+        ends, wanted = np.cumsum(self.sizes[ids]), np.cumsum(sizes * exact)
+        at = np.concatenate([[0], np.searchsorted(ends, wanted, "right")])
+        if (np.concatenate([[0], ends])[at[1:]] != wanted).any():
+            raise AssertionError("a token reaches over the border of two units")
+        return Tokens(ids, at, exact)
 
 
 @dataclass
@@ -197,7 +210,9 @@ def cut_units(column: pa.Array, cuts: bool) -> tuple[pa.Array, np.ndarray]:
         spaces = np.flatnonzero(spaced[1:-1] == 0x20) + 1
         alone = spaces[~white[spaces + 1] & ~white[lead_at[spaces - 1]]]
         # A text's last space stays in its unit, as what follows belongs to the next text.
-        starts = np.union1d(starts, alone)
+        marked = np.zeros(len(spaced), bool)
+        marked[starts], marked[alone] = True, True
+        starts = np.flatnonzero(marked)
     bounds = np.concatenate([starts, [len(spaced)]]).astype(np.int64)
     units = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(spaced))]
@@ -233,15 +248,16 @@ def pair_of(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a << 32) | b
 
 
-def align_units(pair: Pair, units: list[bytes]) -> Aligned:
+def align_units(pair: Pair, units: Units) -> Aligned:
     a, b = pair.a.units(units), pair.b.units(units)
+    count = len(units.at) - 1
     exact = a.exact & b.exact
     for tokens in (a, b):
         kept = np.repeat(exact, np.diff(tokens.at))
         counts = np.where(exact, np.diff(tokens.at), 0)
         tokens.ids, tokens.at = tokens.ids[kept], np.concatenate([[0], np.cumsum(counts)])
     ends_a, ends_b = _ends(a, pair.a.sizes), _ends(b, pair.b.sizes)
-    shared = np.intersect1d(ends_a, ends_b)
+    shared = ends_a[np.isin(ends_a, ends_b, assume_unique=True, kind="table")] if len(ends_a) else ends_a
     # Groups are numbered through; ids of group g are those whose token ends in (shared[g - 1], shared[g]].
     last_a, last_b = np.searchsorted(ends_a, shared, "right"), np.searchsorted(ends_b, shared, "right")
     in_a, in_b = np.diff(last_a, prepend=0), np.diff(last_b, prepend=0)
@@ -249,8 +265,8 @@ def align_units(pair: Pair, units: list[bytes]) -> Aligned:
     group_at = np.searchsorted(first_a, a.at)
     links = in_a * in_b
 
-    groups = _group_texts(a, b, ends_a, ends_b, shared, last_a, last_b)
-    unit_of = np.repeat(np.arange(len(units)), np.diff(group_at))
+    groups = _group_texts(pair, a, b, ends_a, ends_b, shared, last_a, last_b)
+    unit_of = np.repeat(np.arange(count), np.diff(group_at))
     small = np.flatnonzero(links <= LARGE_GROUP)
     each = np.repeat(small, links[small])
     step = _expand(links[small])
@@ -267,23 +283,21 @@ def align_units(pair: Pair, units: list[bytes]) -> Aligned:
     order = np.argsort(unit, kind="stable")
     return Aligned(
         exact, np.diff(a.at), np.diff(b.at), np.diff(group_at),
-        np.bincount(unit_of, links, len(units)).astype(np.int64) if len(links) else np.zeros(len(units), np.int64),
-        groups, np.searchsorted(unit[order], np.arange(len(units) + 1)), key[order], times[order],
+        np.bincount(unit_of, links, count).astype(np.int64) if len(links) else np.zeros(count, np.int64),
+        groups, np.searchsorted(unit[order], np.arange(count + 1)), key[order], times[order],
     )
 
 
-def _group_texts(a: Tokens, b: Tokens, ends_a, ends_b, shared, last_a, last_b) -> list[str]:
-    """``a1,a2|b1;a3|b2`` of every unit, put together from one list of ids that end in their separator."""
+def _group_texts(pair: Pair, a: Tokens, b: Tokens, ends_a, ends_b, shared, last_a, last_b) -> list[str]:
+    """``a1,a2|b1;a3|b2`` of every unit, put together from one list of ids and separators."""
     group_a, group_b = np.searchsorted(shared, ends_a), np.searchsorted(shared, ends_b)
+    words = np.empty(len(a.ids) + len(b.ids), object)
     place_a = np.arange(len(a.ids)) + np.concatenate([[0], last_b])[group_a]
     place_b = np.arange(len(b.ids)) + last_a[group_b]
-    closes_a, closes_b = np.zeros(len(a.ids), bool), np.zeros(len(b.ids), bool)
-    closes_a[last_a - 1], closes_b[last_b - 1] = True, True
-    words = np.empty(len(a.ids) + len(b.ids), object)
-    for ids, place, closes, mark in ((a.ids, place_a, closes_a, "|"), (b.ids, place_b, closes_b, ";")):
-        distinct, code = np.unique(ids, return_inverse=True)
-        table = np.array([f"{i}," for i in distinct] + [f"{i}{mark}" for i in distinct], object)
-        words[place] = table[code + closes * len(distinct)] if len(ids) else table
+    words[place_a], words[place_b] = pair.a.listed[a.ids], pair.b.listed[b.ids]
+    # The last id of a side of a group is followed by the mark instead of a comma.
+    for ids, place, last, mark in ((a.ids, place_a, last_a, "|"), (b.ids, place_b, last_b, ";")):
+        words[place[last - 1]] = [f"{i}{mark}" for i in ids[last - 1].tolist()]
     listed, at = words.tolist(), (a.at + b.at).tolist()
     return ["".join(listed[x:y])[:-1] for x, y in zip(at[:-1], at[1:])]
 
@@ -378,13 +392,16 @@ class _Block:
 
 
 def _summed(pair: np.ndarray, doc: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Numbers of equal ``(pair, doc)`` added up, sorted."""
-    order = np.lexsort((doc, pair))
-    pair, doc, times = pair[order], doc[order], times[order]
-    new = np.ones(len(pair), bool)
-    new[1:] = (pair[1:] != pair[:-1]) | (doc[1:] != doc[:-1])
+    """Numbers of equal ``(pair, doc)`` added up, sorted. Ids have fewer than 24 bits, documents fewer than 16."""
+    key = ((pair >> 32) << 40 | (pair & 0xFFFFFF) << 16 | doc).astype(np.uint64)
+    order = np.argsort(key)
+    key, times = key[order], times[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
     first = np.flatnonzero(new)
-    return pair[first], doc[first], np.add.reduceat(times, first) if len(first) else times
+    key = key[first].astype(np.int64)
+    pair = ((key >> 40) & 0xFFFFFF) << 32 | key >> 16 & 0xFFFFFF
+    return pair, key & 0xFFFF, np.add.reduceat(times, first) if len(first) else times
 
 
 def _columns(schema: pa.Schema, n: int, values: dict[str, object]) -> pa.RecordBatch:
@@ -397,8 +414,9 @@ def _aligner(files, as_text: bool, schema: pa.Schema, block_docs: int):
     def align_slice(pair: Pair, part: pa.RecordBatch, block: _Block) -> pa.RecordBatch:
         units, unit_at = cut_units(part.column("_text"), pair.cuts)
         coded = units.dictionary_encode()
-        found = align_units(pair, coded.dictionary.to_pylist())
-        code = coded.indices.to_numpy()
+        distinct, place = arrange(coded.dictionary)
+        found = align_units(pair, distinct)
+        code = place[coded.indices.to_numpy()]
         n = part.num_rows
         per_doc = np.diff(unit_at)
         home = np.repeat(np.arange(n), per_doc)
@@ -414,7 +432,9 @@ def _aligner(files, as_text: bool, schema: pa.Schema, block_docs: int):
             texts.append(text if as_text or not text else hashlib.sha256(text.encode()).hexdigest())
         # Units of whole documents, each once per document with how often it occurs there.
         if len(code):
-            both, times = np.unique((home * len(found.exact) + code)[whole[home]], return_counts=True)
+            both = np.sort((home * len(found.exact) + code)[whole[home]])
+            first = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]])[: len(both)])
+            both, times = both[first], np.diff(np.concatenate([first, [len(both)]]))
             doc, unit = both // len(found.exact), both % len(found.exact)
             size = np.diff(found.pair_at)[unit]
             inner = np.repeat(found.pair_at[unit], size) + _expand(size)

@@ -142,8 +142,9 @@ def test_slices_blocks_and_calls_do_not_matter(brute, monkeypatch):
         monkeypatch.setattr(alignment, "LARGE_GROUP", large)
         units, at = alignment.cut_units(pa.array(given), True)
         coded = units.dictionary_encode()
-        found = alignment.align_units(pair, coded.dictionary.to_pylist())
-        codes = coded.indices.to_numpy()
+        distinct, place = alignment.arrange(coded.dictionary)
+        found = alignment.align_units(pair, distinct)
+        codes = place[coded.indices.to_numpy()]
         for i, want in enumerate(brute.rows(given)):
             own = codes[at[i] : at[i + 1]]
             if found.exact[own].all():
