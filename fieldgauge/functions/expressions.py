@@ -84,18 +84,23 @@ def local_date(instant: str, zone: str) -> Column:
     return F.to_date(local_time(instant, zone))
 
 
-def exact_average(value: str, factor: int = 1, digits: int = 2) -> Column:
-    """Average rounded once, half up, and the same whatever the order in which partial sums meet.
+def exact_sum(value: str) -> Column:
+    """Sum of decimals of nine digits, the same whatever the order in which partial sums meet.
 
-    Values are summed as decimals of nine digits; one that is no number, or is beyond 19 digits before
-    the point, is left out, as NULL is.
+    A value that is no number, or is beyond 19 digits before the point, is left out, as NULL is.
     """
-    return F.expr(f"CAST(round(avg(try_cast({value} AS DECIMAL(28, 9))) * {factor}, {digits}) AS DOUBLE)")
+    return F.expr(f"try_sum(try_cast({value} AS DECIMAL(28, 9)))")
 
 
-def duty_cycle_pct(flag: str) -> Column:
-    """Share of readings with the flag on, in percent; NULL flags are left out."""
-    return exact_average(f"CAST({flag} AS INT)", factor=100)
+def exact_count(value: str) -> Column:
+    """How many values ``exact_sum`` adds."""
+    return F.expr(f"count(try_cast({value} AS DECIMAL(28, 9)))")
+
+
+def exact_quotient(total: str, count: str, factor: int = 1, digits: int = 2) -> Column:
+    """``total / count * factor`` to 14 digits, rounded half up; NULL of no values."""
+    quotient = f"try_divide(try_cast({total} AS DECIMAL(33, 9)), CAST({count} AS DECIMAL(20, 0)))"
+    return F.expr(f"CAST(round({quotient} * {factor}, {digits}) AS DOUBLE)")
 
 
 def percent(part: str, whole: str) -> Column:

@@ -18,6 +18,7 @@ from fieldgauge.operators.kpi import daily_kpi
 from fieldgauge.plans.silver import build_silver
 from fieldgauge.session import cut_lineage
 from fieldgauge.sources import tables as sinks
+from fieldgauge.sources.parts import delete
 from fieldgauge.sources.readers import read_reference_csv, table, table_exists
 
 
@@ -42,6 +43,11 @@ class Lake:
         return f"{self.root.rstrip('/')}/{name}"
 
 
+def increments_path(lake: Lake) -> str:
+    """Where incremental runs keep their ledger and what they remember (``streaming.state``)."""
+    return f"{lake.root.rstrip('/')}/increments-{lake.silver}"
+
+
 def processing_time(spark: SparkSession) -> Column:
     """The time now, as one constant for all jobs of a run."""
     return F.lit(spark.sql("SELECT string(current_timestamp())").first()[0]).cast("timestamp")
@@ -77,9 +83,14 @@ def upsert(df: DataFrame, name: str, path: str, keys: Sequence[str]) -> None:
 
 
 def run_silver(spark: SparkSession, lake: Lake, now: Column | None = None, strict: bool = False) -> None:
-    """Recompute silver from all raw rows and insert what is new."""
+    """Recompute silver from all raw rows and insert what is new.
+
+    What incremental runs remember does not know of these rows and is dropped; the next increment reads
+    the tables once to remember them again.
+    """
     now = processing_time(spark) if now is None else now
     built = build_silver(table(spark, lake.bronze), table(spark, lake.master), now, cut_lineage, strict)
+    delete(spark, increments_path(lake))
     insert_unseen(built.published, lake.silver, lake.path(lake.silver), EVENT_KEY)
     insert_unseen(cut_lineage(built.quarantined), lake.invalid, lake.path(lake.invalid), OFFSET_KEYS)
 

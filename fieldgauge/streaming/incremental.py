@@ -2,17 +2,17 @@
 
 Each run of ``silver_increment`` takes one slice of the raw table:
 
-* broken records go to quarantine;
-* valid ones are reduced to the first copy per event, and events already published or waiting for
-  reference data are dropped;
-* records waiting for reference data are parsed again from their payload and tried again;
-* numbers of the touched devices are read back from silver and quarantine, so gaps are found
-  against the whole history. Gaps already published are not revised by late packets.
+* broken records go to quarantine, unless their offset was seen before;
+* valid ones are reduced to the first copy per event, and events taken before are dropped;
+* records waiting for reference data are tried again;
+* gaps are found against the numbers each device has sent so far.
 
-Current state and KPIs then look at the zones and days that silver rows processed since the gold
-table's own last update belong to. A stage that failed is thus made up for by the next run.
+What earlier slices held is in ``streaming.state``: silver and quarantine are appended to, never read. Current
+state and KPIs keep a state of their own, to which each slice's readings are added. A ledger numbers the
+slices, so a slice may be repeated, and a run that failed anywhere is made up for by the next one.
 
-All writes are insert-only or replace whole keys, so a slice may be repeated after a failure.
+A new event whose number its device has sent before follows that number, whichever id is smaller; a full
+recompute would let the smaller id follow the gap. Gaps already published are not revised by late packets.
 """
 
 from __future__ import annotations
@@ -22,143 +22,91 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldgauge.config import DEVICE_KEYS, EVENT_KEY, KPI_KEYS, MASTER_DATA_NOT_FOUND, OFFSET_KEYS, ZONE_KEYS
+from fieldgauge.config import DEVICE_KEYS, EVENT_KEY, KPI_KEYS, OFFSET_KEYS, ZONE_KEYS
 from fieldgauge.functions import expressions as X
-from fieldgauge.operators import merge
 from fieldgauge.operators.current import current_status
-from fieldgauge.operators.enrich import bounded_broadcast
-from fieldgauge.operators.grouping import dedup_first
-from fieldgauge.operators.kpi import daily_kpi, local_day
-from fieldgauge.operators.quality import ERROR, split_valid, validate
+from fieldgauge.operators.enrich import MATCHED, bounded_broadcast
+from fieldgauge.operators.grouping import dedup_first, latest_per_key
+from fieldgauge.operators.kpi import kpi_of_partials, kpi_partials, merge_partials
+from fieldgauge.operators.quality import split_valid, validate
 from fieldgauge.operators.quarantine import quarantine
-from fieldgauge.plans.silver import graded_readings, publishable, sequenced
-from fieldgauge.plans.stages import Lake, insert_unseen, processing_time, run_alerts, upsert
+from fieldgauge.operators.runs import as_runs, merge_runs
+from fieldgauge.operators.sequence import missing_packets
+from fieldgauge.plans.silver import graded_readings, publishable
+from fieldgauge.plans.stages import Lake, processing_time, run_alerts, upsert
 from fieldgauge.session import cut_lineage
-from fieldgauge.sources.readers import parse_json, table, table_exists
-from fieldgauge.sources.schemas import BRONZE_SCHEMA, LINEAGE_COLUMNS
-
-HISTORY = (*DEVICE_KEYS, "seq_num", *EVENT_KEY)
-
-
-def waiting(invalid: DataFrame) -> DataFrame:
-    """Quarantined records that only lack reference data."""
-    return invalid.filter(F.col(ERROR) == MASTER_DATA_NOT_FOUND)
-
-
-def retried(invalid: DataFrame, master: DataFrame) -> DataFrame:
-    """Waiting records whose zone has arrived in the reference data, as raw rows again."""
-    known = master.filter("crop_type IS NOT NULL").select(*ZONE_KEYS)
-    ready = waiting(invalid).join(known, list(ZONE_KEYS), "left_semi")
-    kept = ready.select(F.col("raw_payload").alias("json_value"), *LINEAGE_COLUMNS, "bronze_ingestion_time")
-    parsed = parse_json(kept, "json_value")
-    return parsed.select(
-        "parsed.*", *LINEAGE_COLUMNS, F.col("json_value").alias("raw_payload"), "bronze_ingestion_time"
-    ).select(*BRONZE_SCHEMA.names)
+from fieldgauge.sources.parts import PART
+from fieldgauge.sources.readers import table
+from fieldgauge.sources.schemas import BRONZE_SCHEMA
+from fieldgauge.streaming.state import ALL, LakeState, current_state, date_part, kpi_state, month_part, parts_of
 
 
 def silver_increment(spark: SparkSession, lake: Lake, batch: DataFrame, now: Column, strict: bool = False) -> None:
     """Publish one slice of raw rows."""
+    state = LakeState(spark, lake).open()
     master = table(spark, lake.master)
     valid, invalid = split_valid(validate(batch, strict=strict))
     arrived = cut_lineage(dedup_first(valid).select(*BRONZE_SCHEMA.names))
-
-    history = None
-    fresh = arrived
-    if table_exists(spark, lake.silver):
-        published, rejected = table(spark, lake.silver), table(spark, lake.invalid)
-        known = published.select(*EVENT_KEY).unionByName(waiting(rejected).select(*EVENT_KEY))
-        fresh = merge.unseen_rows_late(known, arrived, EVENT_KEY, cut_lineage)
-        again = merge.unseen_rows(published, retried(rejected, master), EVENT_KEY)
-        fresh = cut_lineage(fresh.unionByName(dedup_first(again)))
-        touched = bounded_broadcast(fresh.select(*DEVICE_KEYS).distinct())
-        history = (
-            published.select(*HISTORY).unionByName(waiting(rejected).select(*HISTORY))
-            .join(touched, list(DEVICE_KEYS), "left_semi")
-            .join(fresh.select(*EVENT_KEY), list(EVENT_KEY), "left_anti")
-            .distinct()
-        )
-    graded = cut_lineage(graded_readings(sequenced(fresh, history), master))
-    rejects = cut_lineage(quarantine(invalid, graded, now))
-    insert_unseen(publishable(graded, now), lake.silver, lake.path(lake.silver), EVENT_KEY)
-    insert_unseen(rejects, lake.invalid, lake.path(lake.invalid), OFFSET_KEYS)
-
-
-def _since(spark: SparkSession, name: str) -> Column | None:
-    """When the gold table was last updated; None if it has no rows."""
-    if not table_exists(spark, name):
-        return None
-    last = table(spark, name).agg(F.max("gold_updated_at").cast("string")).first()[0]
-    return None if last is None else F.lit(last).cast("timestamp")
-
-
-def _processed_since(silver: DataFrame, since: Column | None) -> DataFrame:
-    return silver if since is None else silver.filter(F.col("silver_processed_at") >= since)
+    fresh = cut_lineage(state.unseen_events(arrived))
+    ready = cut_lineage(state.ready(master))
+
+    numbered = state.with_previous(fresh, ready).withColumn("event_timestamp", X.parse_event_time("timestamp"))
+    graded = cut_lineage(graded_readings(missing_packets(numbered), master))
+    keys = fresh.withColumn("_time", X.parse_event_time("timestamp"))
+    partition, offset = OFFSET_KEYS
+    state.commit(
+        published=publishable(graded, now),
+        rejects=state.unseen_offsets(cut_lineage(quarantine(invalid, graded, now))),
+        keys=keys.select(*EVENT_KEY, *DEVICE_KEYS, "seq_num", date_part("_time").alias(PART)),
+        waiting=graded.filter(~F.col(MATCHED)).select(*BRONZE_SCHEMA.names),
+        offsets=merge_runs(as_runs(batch, [partition], offset), [partition]),
+    )
+    state.apply_last()
 
 
 def current_increment(spark: SparkSession, lake: Lake, now: Column) -> None:
-    """Latest state of the zones with new readings.
-
-    Silver rows never change, so the newest row of a zone is not older than its published state: of
-    published zones only rows from the oldest of these states on are read. A zone without a published
-    state had no reading before the last update, so of new zones only rows processed since are.
-    """
-    silver = table(spark, lake.silver)
-    since = _since(spark, lake.current)
-    zones = _processed_since(silver, since).select(*ZONE_KEYS).distinct()
-    if table_exists(spark, lake.current):
-        published = table(spark, lake.current).select(*ZONE_KEYS, F.col("last_reading_at").alias("_from"))
-        zones = zones.join(published, list(ZONE_KEYS), "left")
+    """Latest state of the zones with new readings: the newest of the state so far and the new ones."""
+    state = LakeState(spark, lake).open()
+    kept = state._parts("current", table(spark, lake.silver).schema)
+    if kept.manifest() is None:
+        rows, zones = cut_lineage(current_state(table(spark, lake.silver))), None
     else:
-        zones = zones.withColumn("_from", F.lit(None).cast("timestamp"))
-    zones = cut_lineage(zones)
-    oldest, unknown = zones.agg(F.min("_from").cast("string"), F.count_if(F.col("_from").isNull())).first()
-    near = silver
-    if since is not None:
-        recent = F.col("silver_processed_at") >= since if unknown else F.lit(False)
-        if oldest is not None:
-            recent = recent | (F.col("event_timestamp") >= F.lit(oldest).cast("timestamp"))
-        near = silver.filter(recent)
-    candidates = (
-        near.join(bounded_broadcast(zones), list(ZONE_KEYS))
-        .filter("_from IS NULL OR event_timestamp >= _from")
-        .select(*silver.columns)
-    )
-    upsert(cut_lineage(current_status(candidates, now)), lake.current, lake.path(lake.current), ZONE_KEYS)
+        new = state.published_after(kept.applied())
+        if new is None:
+            return
+        rows = cut_lineage(latest_per_key(kept.read().drop(PART).unionByName(new)).withColumn(PART, F.lit(ALL)))
+        zones = cut_lineage(new.select(*ZONE_KEYS).distinct())
+    touched = rows if zones is None else rows.join(bounded_broadcast(zones), list(ZONE_KEYS), "left_semi")
+    upsert(cut_lineage(current_status(touched.drop(PART), now)), lake.current, lake.path(lake.current), ZONE_KEYS)
+    kept.replace(rows, state.last(), emptied=[ALL])
 
 
 def kpi_increment(spark: SparkSession, lake: Lake, now: Column, drop_null_date: bool = False) -> None:
-    """KPIs of the zone days with new readings, from all their readings.
+    """KPIs of the zone days with new readings: the slice's aggregates added to those of the days so far.
 
-    The days are a semi-join; their time range, a day wider on both sides for the zones' offsets,
-    is pushed to the scan as well. Readings whose time could not be parsed, or whose zone has no time
-    zone, are a day of their own, the NULL one, as in a full run; ``drop_null_date`` leaves it out there
-    and here.
+    Readings whose time could not be parsed, or whose zone has no time zone, are a day of their own, the
+    NULL one, which each run that meets such readings inserts anew; ``drop_null_date`` leaves it out.
     """
+    state = LakeState(spark, lake).open()
     silver = table(spark, lake.silver)
-    touched = cut_lineage(
-        local_day(_processed_since(silver, _since(spark, lake.kpi))).select(*KPI_KEYS).distinct()
-    )
-    first, last, undated = touched.agg(
-        F.min("kpi_date"), F.max("kpi_date"), F.count_if(F.col("kpi_date").isNull())
-    ).first()
-    near = F.lit(False)
-    if first is not None:
-        near = (F.col("event_timestamp") >= F.date_sub(F.lit(first), 1).cast("timestamp")) & (
-            F.col("event_timestamp") < F.date_add(F.lit(last), 2).cast("timestamp")
-        )
-    if undated and not drop_null_date:
-        near = near | F.col("event_timestamp").isNull() | F.col("timezone").isNull()
-    elif first is None:
-        return
-    days = bounded_broadcast(touched.select(*[F.col(k).alias(f"_{k}") for k in KPI_KEYS]))
-    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KPI_KEYS]
-    of_days = (
-        silver.filter(near)
-        .withColumn("kpi_date", X.local_date("event_timestamp", "timezone"))
-        .join(days, same, "left_semi")
-        .select(*silver.columns)
-    )
-    upsert(cut_lineage(daily_kpi(of_days, now, drop_null_date)), lake.kpi, lake.path(lake.kpi), KPI_KEYS)
+    kept = state._parts("kpi", kpi_partials(silver).schema)
+    if kept.manifest() is None:
+        merged, days = cut_lineage(kpi_state(silver)), None
+    else:
+        new = state.published_after(kept.applied())
+        if new is None:
+            return
+        added = cut_lineage(kpi_partials(new))
+        before = kept.read(parts_of(added, month_part())).drop(PART)
+        merged = cut_lineage(merge_partials(before.unionByName(added)).withColumn(PART, month_part()))
+        days = cut_lineage(added.select(*[F.col(k).alias(f"_{k}") for k in KPI_KEYS]).distinct())
+    touched = merged
+    if days is not None:
+        same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KPI_KEYS]
+        touched = merged.join(bounded_broadcast(days), same, "left_semi")
+    rows = cut_lineage(kpi_of_partials(touched.drop(PART), now, drop_null_date))
+    upsert(rows, lake.kpi, lake.path(lake.kpi), KPI_KEYS)
+    kept.replace(merged, state.last())
 
 
 def run_increment(spark: SparkSession, lake: Lake, batch: DataFrame, now: Column | None = None) -> None:
@@ -168,6 +116,8 @@ def run_increment(spark: SparkSession, lake: Lake, batch: DataFrame, now: Column
     current_increment(spark, lake, now)
     run_alerts(spark, lake, now)
     kpi_increment(spark, lake, now)
+    state = LakeState(spark, lake)
+    state.forget(state.last())
 
 
 def silver_handler(lake: Lake, now: Column | None = None) -> Callable[[DataFrame, int], None]:
