@@ -185,6 +185,48 @@ def chained(final: str, **more: str) -> str:
     return f"{CHAIN}{extra}\n{final}"
 
 
+def _increments() -> str:
+    """Tables after three slices: gaps as seen when a row was published, the NULL day once per slice that adds to it."""
+    ctes = dict(_CTES)
+    ctes["t"] = f"""
+        SELECT * REPLACE (CASE WHEN eventhub_offset % 401 <> 0 THEN event_time END AS event_time),
+          CASE WHEN seq_num % 97 = 0 THEN 2 WHEN eventhub_enqueued_time < TIMESTAMP '2024-01-11' THEN 0
+            WHEN eventhub_enqueued_time < TIMESTAMP '2024-01-21' THEN 1 ELSE 2 END AS slice
+        FROM ({TELEMETRY_SQL})"""
+    ctes["d"] = """
+        SELECT * FROM v WHERE is_valid_record
+        QUALIFY row_number() OVER (
+          PARTITION BY event_id ORDER BY slice, eventhub_enqueued_time, eventhub_partition, eventhub_offset) = 1"""
+    ctes["lagged"] = "UNION ALL".join(
+        f"""
+        SELECT * FROM (SELECT *, event_time AS event_timestamp,
+          lag(seq_num) OVER (PARTITION BY farm_id, zone_id, device_id ORDER BY seq_num, event_id) AS previous_seq_num
+        FROM d WHERE slice <= {k}) WHERE slice = {k}
+        """
+        for k in range(3)
+    )
+    ctes["silver"] = ctes["silver"].replace("SELECT ", "SELECT slice, ", 1)
+    ctes["localised"] = """
+        SELECT -1 AS step, *, (event_timestamp AT TIME ZONE 'UTC') AT TIME ZONE timezone AS local_event_timestamp
+        FROM silver WHERE event_timestamp IS NOT NULL
+        UNION ALL
+        SELECT step, s.*, CAST(NULL AS TIMESTAMP)
+        FROM silver s JOIN (
+          SELECT DISTINCT slice AS step, farm_id, zone_id FROM silver WHERE event_timestamp IS NULL) u
+        ON s.farm_id = u.farm_id AND s.zone_id = u.zone_id AND s.slice <= u.step
+        WHERE event_timestamp IS NULL"""
+    ctes["kpi_base"] = ctes["kpi_base"].replace("SELECT ", "SELECT step, ", 1)
+    chain = "WITH " + ",\n".join(f"{name} AS ({text}\n)" for name, text in ctes.items())
+    tables = {"silver": SILVER_COLUMNS, "cur": CURRENT_COLUMNS, "kpi": KPI_COLUMNS}
+    labels = {"silver": "silver", "cur": "current", "kpi": "kpi"}
+    selects = [
+        f"SELECT '{labels[t]}' AS table_name, "
+        + listed(c for c in columns if c not in ("silver_processed_at", "gold_updated_at")) + f" FROM {t}"
+        for t, columns in tables.items()
+    ]
+    return chain + "\n" + " UNION ALL BY NAME ".join(selects)
+
+
 def _episodes() -> str:
     """Runs of consecutive batches per alert key: each run is one episode."""
     return chained(
@@ -452,17 +494,7 @@ ORACLES = {
           false AS before, true AS after""",
     "sample_silver": "SELECT CAST(20 AS BIGINT) AS sampled, CAST(20 AS BIGINT) AS found",
     "stream_backlog": chained("SELECT count(*) AS rows_read, true AS more_than_kept FROM t"),
-    "increments_over_tables": chained(
-        f"SELECT CAST(local_event_timestamp AS DATE) AS kpi_date, farm_id, zone_id, count(*) AS reading_count, "
-        f"CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS anomaly_reading_count, {averaged('ph')} AS avg_ph, "
-        + rounded(
-            "greatest(0.0, 100.0 - "
-            + rounded("CAST(sum(CAST(is_anomaly AS INTEGER)) AS DOUBLE) / count(*) * 100")
-            + ")"
-        )
-        + " AS health_score FROM (SELECT * REPLACE (CASE WHEN eventhub_offset % 401 <> 0 THEN local_event_timestamp END "
-        "AS local_event_timestamp) FROM localised) GROUP BY 1, farm_id, zone_id"
-    ),
+    "increments_over_tables": _increments(),
     # streaming
     "stream_ingest": chained(
         f"SELECT {listed(EVENT_SCHEMA.names)}, eventhub_partition, eventhub_offset, eventhub_enqueued_time, "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import uuid
 from collections.abc import Callable
 
@@ -590,7 +591,11 @@ def tables_exist(spark, sf_dir):
 
 @registered
 def increments_over_tables(spark, sf_dir):
-    """Three slices through all incremental stages, with a time that does not parse and a late packet."""
+    """Three slices through all incremental stages: silver, current state and KPIs as published at the end.
+
+    Every slice holds times that do not parse, copies of events of the slice before and, in the last one,
+    late packets. Processing times are left out.
+    """
     lake = _lake(spark)
     sinks.create_if_absent(reference(spark, sf_dir), lake.master, lake.path(lake.master))
     rows = telemetry(spark, sf_dir).withColumn(
@@ -602,12 +607,13 @@ def increments_over_tables(spark, sf_dir):
         .when(F.col("eventhub_enqueued_time") < F.lit("2024-01-21").cast("timestamp"), 1).otherwise(2)
     )))
     for step in range(3):
-        # Records without a time arrive with the last slice, as the NULL day is inserted by each run.
-        undated = F.col("timestamp") == "garbage"
-        part = rows.filter(((F.col("_slice") == step) & ~undated) | (undated & F.lit(step == 2))).drop("_slice")
         at = F.date_add(F.lit(NOW).cast("date"), step).cast("timestamp")
-        run_increment(spark, lake, part, at)
-    return table(spark, lake.kpi).select("kpi_date", *ZONE_KEYS, "reading_count", "anomaly_reading_count", "avg_ph", "health_score")
+        run_increment(spark, lake, rows.filter(F.col("_slice") == step).drop("_slice"), at)
+    published = [
+        table(spark, name).drop("silver_processed_at", "gold_updated_at").withColumn("table_name", F.lit(label))
+        for name, label in ((lake.silver, "silver"), (lake.current, "current"), (lake.kpi, "kpi"))
+    ]
+    return functools.reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), published)
 
 
 def _lake(spark) -> Lake:

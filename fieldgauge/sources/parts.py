@@ -71,35 +71,61 @@ class Parts:
     def __init__(self, spark: SparkSession, base: str, schema: StructType | str):
         self.spark, self.base = spark, base.rstrip("/")
         self.schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        self._manifest: Manifest | None = None
 
     def manifest(self) -> Manifest | None:
-        """The current one; None if nothing was ever written."""
-        versions = [n for n in names_in(self.spark, self.base) if n.startswith("manifest-") and n.endswith(".json")]
-        return Manifest(**json.loads(read_text(self.spark, f"{self.base}/{versions[-1]}"))) if versions else None
+        """The one in force when this object first asked, or wrote; None if nothing was ever written."""
+        if self._manifest is None:
+            versions = [n for n in names_in(self.spark, self.base) if n.startswith("manifest-") and n.endswith(".json")]
+            if versions:
+                self._manifest = Manifest(**json.loads(read_text(self.spark, f"{self.base}/{versions[-1]}")))
+        return self._manifest
+
+    def applied(self) -> int:
+        return (self.manifest() or Manifest()).applied
+
+    def held(self) -> dict[str, str]:
+        """Part to folder."""
+        return (self.manifest() or Manifest()).folders
 
     def read(self, parts: Iterable[str] | None = None) -> DataFrame:
         """Rows of these parts (all by default) with their part; other folders are not listed."""
-        manifest = self.manifest() or Manifest()
-        wanted = manifest.folders if parts is None else [p for p in dict.fromkeys(parts) if p in manifest.folders]
-        paths = [manifest.folders[p] for p in wanted]
-        schema = StructType([*self.schema.fields]).add(PART, "string")
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        held = self.held()
+        return self.of_folders([held[p] for p in (held if parts is None else dict.fromkeys(parts)) if p in held])
 
-    def applied(self) -> int:
-        return (self.manifest() or Manifest()).applied
+    def of_folders(self, paths: Iterable[str]) -> DataFrame:
+        schema = StructType([*self.schema.fields]).add(PART, "string")
+        paths = list(paths)
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
-    def replace(
-        self, rows: DataFrame, applied: int, emptied: Iterable[str] = (), notes: dict[str, int] | None = None
-    ) -> None:
-        """Replace the parts that occur in ``rows`` (which has the column of the part), and drop those ``emptied``."""
-        before = self.manifest() or Manifest()
+    def write(self, rows: DataFrame) -> dict[str, str]:
+        """New folders for the parts that occur in ``rows`` (which has the column of the part), not in force yet."""
         folder = f"{self.base}/data-{uuid.uuid4().hex}"
         # The part is in the files as well, so that a folder can be read alone.
         marked = rows.select(*self.schema.names, PART, F.col(PART).alias("part_folder"))
         marked.repartition(PART).write.partitionBy("part_folder").parquet(folder)
-        written = {n.partition("=")[2]: f"{folder}/{n}" for n in names_in(self.spark, folder) if n.startswith("part_folder=")}
+        return {n.partition("=")[2]: f"{folder}/{n}" for n in names_in(self.spark, folder) if n.startswith("part_folder=")}
+
+    def publish(
+        self, written: dict[str, str], applied: int, emptied: Iterable[str] = (), notes: dict[str, int] | None = None
+    ) -> None:
+        """Put written folders in force, drop the parts ``emptied``, leave all others."""
+        before = self.manifest() or Manifest()
         kept = {part: path for part, path in before.folders.items() if part not in set(emptied)}
         after = Manifest(before.version + 1, applied, {**kept, **written}, {**before.notes, **(notes or {})})
         write_text(self.spark, f"{self.base}/manifest-{after.version:012d}.json", json.dumps(after.__dict__))
+        self._manifest = after
+
+    def replace(
+        self, rows: DataFrame, applied: int, emptied: Iterable[str] = (), notes: dict[str, int] | None = None
+    ) -> None:
+        self.publish(self.write(rows), applied, emptied, notes)
+
+    def forget(self) -> None:
+        """Delete manifests and folders that are no longer in force."""
+        names = names_in(self.spark, self.base)
+        current = max((n for n in names if n.endswith(".json")), default="")
+        used = {path.rsplit("/", 2)[1] for path in self.held().values()}
+        for name in names:
+            if name != current and name not in used:
+                delete(self.spark, f"{self.base}/{name}")

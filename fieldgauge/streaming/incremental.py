@@ -47,21 +47,22 @@ def silver_increment(spark: SparkSession, lake: Lake, batch: DataFrame, now: Col
     master = table(spark, lake.master)
     valid, invalid = split_valid(validate(batch, strict=strict))
     arrived = cut_lineage(dedup_first(valid).select(*BRONZE_SCHEMA.names))
-    fresh = cut_lineage(state.unseen_events(arrived))
-    ready = cut_lineage(state.ready(master))
-
-    numbered = state.with_previous(fresh, ready).withColumn("event_timestamp", X.parse_event_time("timestamp"))
-    graded = cut_lineage(graded_readings(missing_packets(numbered), master))
-    keys = fresh.withColumn("_time", X.parse_event_time("timestamp"))
+    fresh = state.unseen_events(arrived)
+    if fresh is not arrived:
+        fresh = cut_lineage(fresh)
+
+    numbered = state.with_previous(fresh, state.ready(master))
+    timed = numbered.withColumn("event_timestamp", X.parse_event_time("timestamp"))
+    graded = cut_lineage(graded_readings(missing_packets(timed), master))
+    waits = F.when(~F.col(MATCHED), F.struct(*BRONZE_SCHEMA.names))
     partition, offset = OFFSET_KEYS
-    state.commit(
+    number = state.commit(
         published=publishable(graded, now),
-        rejects=state.unseen_offsets(cut_lineage(quarantine(invalid, graded, now))),
-        keys=keys.select(*EVENT_KEY, *DEVICE_KEYS, "seq_num", date_part("_time").alias(PART)),
-        waiting=graded.filter(~F.col(MATCHED)).select(*BRONZE_SCHEMA.names),
+        rejects=state.unseen_offsets(quarantine(invalid, graded, now), batch),
+        taken=graded.select(*EVENT_KEY, *DEVICE_KEYS, "seq_num", date_part("event_timestamp").alias(PART), waits.alias("raw")),
         offsets=merge_runs(as_runs(batch, [partition], offset), [partition]),
     )
-    state.apply_last()
+    state.apply(number)
 
 
 def current_increment(spark: SparkSession, lake: Lake, now: Column) -> None:
@@ -69,16 +70,18 @@ def current_increment(spark: SparkSession, lake: Lake, now: Column) -> None:
     state = LakeState(spark, lake).open()
     kept = state._parts("current", table(spark, lake.silver).schema)
     if kept.manifest() is None:
-        rows, zones = cut_lineage(current_state(table(spark, lake.silver))), None
+        rows, new = current_state(table(spark, lake.silver)), None
     else:
         new = state.published_after(kept.applied())
         if new is None:
             return
-        rows = cut_lineage(latest_per_key(kept.read().drop(PART).unionByName(new)).withColumn(PART, F.lit(ALL)))
-        zones = cut_lineage(new.select(*ZONE_KEYS).distinct())
-    touched = rows if zones is None else rows.join(bounded_broadcast(zones), list(ZONE_KEYS), "left_semi")
-    upsert(cut_lineage(current_status(touched.drop(PART), now)), lake.current, lake.path(lake.current), ZONE_KEYS)
-    kept.replace(rows, state.last(), emptied=[ALL])
+        rows = latest_per_key(kept.read().drop(PART).unionByName(new)).withColumn(PART, F.lit(ALL))
+    written = kept.write(rows)
+    touched = kept.of_folders(written.values()).drop(PART)
+    if new is not None:
+        touched = touched.join(bounded_broadcast(new.select(*ZONE_KEYS).distinct()), list(ZONE_KEYS), "left_semi")
+    upsert(current_status(touched, now), lake.current, lake.path(lake.current), ZONE_KEYS)
+    kept.publish(written, state.last(), emptied=[ALL])
 
 
 def kpi_increment(spark: SparkSession, lake: Lake, now: Column, drop_null_date: bool = False) -> None:
@@ -91,22 +94,22 @@ def kpi_increment(spark: SparkSession, lake: Lake, now: Column, drop_null_date:
     silver = table(spark, lake.silver)
     kept = state._parts("kpi", kpi_partials(silver).schema)
     if kept.manifest() is None:
-        merged, days = cut_lineage(kpi_state(silver)), None
+        merged, days = kpi_state(silver), None
     else:
         new = state.published_after(kept.applied())
         if new is None:
             return
         added = cut_lineage(kpi_partials(new))
         before = kept.read(parts_of(added, month_part())).drop(PART)
-        merged = cut_lineage(merge_partials(before.unionByName(added)).withColumn(PART, month_part()))
-        days = cut_lineage(added.select(*[F.col(k).alias(f"_{k}") for k in KPI_KEYS]).distinct())
-    touched = merged
+        merged = merge_partials(before.unionByName(added)).withColumn(PART, month_part())
+        days = added.select(*[F.col(k).alias(f"_{k}") for k in KPI_KEYS]).distinct()
+    written = kept.write(merged)
+    touched = kept.of_folders(written.values()).drop(PART)
     if days is not None:
         same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KPI_KEYS]
-        touched = merged.join(bounded_broadcast(days), same, "left_semi")
-    rows = cut_lineage(kpi_of_partials(touched.drop(PART), now, drop_null_date))
-    upsert(rows, lake.kpi, lake.path(lake.kpi), KPI_KEYS)
-    kept.replace(merged, state.last())
+        touched = touched.join(bounded_broadcast(days), same, "left_semi")
+    upsert(kpi_of_partials(touched, now, drop_null_date), lake.kpi, lake.path(lake.kpi), KPI_KEYS)
+    kept.publish(written, state.last())
 
 
 def run_increment(spark: SparkSession, lake: Lake, batch: DataFrame, now: Column | None = None) -> None:

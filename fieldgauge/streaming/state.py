@@ -77,88 +77,104 @@ class LakeState:
 
     # Ledger
 
-    def entries(self) -> dict[int, dict]:
-        names = [n for n in names_in(self.spark, f"{self.base}/slices") if n.startswith("slice-") and n.endswith(".json")]
-        return {int(n[6:-5]): n for n in names}
-
-    def entry(self, number: int) -> dict:
-        return json.loads(read_text(self.spark, f"{self.base}/slices/{self.entries()[number]}"))
+    def entries(self) -> list[int]:
+        """Numbers of the slices entered, but for old ones that all tables have taken."""
+        names = names_in(self.spark, f"{self.base}/slices")
+        return sorted(int(n[6:-5]) for n in names if n.startswith("slice-") and n.endswith(".json"))
 
     def last(self) -> int:
         return max(self.entries(), default=0)
 
-    def commit(self, **frames: DataFrame) -> None:
-        """Stage the rows of a slice, then enter it."""
+    def commit(self, **frames: DataFrame) -> int:
+        """Stage the rows of a slice, then enter it. Its number."""
         number = self.last() + 1
         folder = f"{self.base}/rows/{number}-{uuid.uuid4().hex}"
         for name, frame in frames.items():
             frame.write.parquet(f"{folder}/{name}")
         schemas = {name: frame.schema.json() for name, frame in frames.items()}
         write_text(self.spark, f"{self.base}/slices/slice-{number:012d}.json", json.dumps({"folder": folder, "schemas": schemas}))
+        return number
 
-    def rows(self, number: int, name: str) -> DataFrame:
-        entry = self.entry(number)
-        schema = StructType.fromJson(json.loads(entry["schemas"][name]))
-        return self.spark.read.schema(schema).parquet(f"{entry['folder']}/{name}")
+    def rows(self, number: int) -> dict[str, DataFrame]:
+        entry = json.loads(read_text(self.spark, f"{self.base}/slices/slice-{number:012d}.json"))
+        return {
+            name: self.spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(f"{entry['folder']}/{name}")
+            for name, schema in entry["schemas"].items()
+        }
 
     def published_after(self, applied: int) -> DataFrame | None:
         """Silver rows of the slices after ``applied``; None if there is none."""
-        frames = [self.rows(n, "published") for n in sorted(self.entries()) if n > applied]
+        frames = [self.rows(n)["published"] for n in self.entries() if n > applied]
         return reduce(DataFrame.unionByName, frames) if frames else None
 
     def forget(self, until: int) -> None:
-        """Drop the staged rows of slices that silver and gold have both taken; their entries stay."""
-        kept = {n.partition("-")[0]: n for n in names_in(self.spark, f"{self.base}/rows")}
-        for number, name in kept.items():
-            if int(number) <= until:
-                delete(self.spark, f"{self.base}/rows/{name}")
+        """Drop what is no longer needed once all tables have taken the slices up to ``until``.
+
+        Staged rows, marks and entries of these slices go, but for the last entry, which carries the number,
+        and so do folders of states that were replaced.
+        """
+        for folder, number_of in (
+            ("rows", lambda n: int(n.partition("-")[0])),
+            ("marks", lambda n: int(n[:12])),
+            ("slices", lambda n: int(n[6:18]) + 1),
+        ):
+            for name in names_in(self.spark, f"{self.base}/{folder}"):
+                if number_of(name) <= until and not name.endswith(f"{until:012d}.done"):
+                    delete(self.spark, f"{self.base}/{folder}/{name}")
+        for state in (self.ids, self.blooms, self.runs, self.tops, self.offsets, self.waiting):
+            state.forget()
 
     # Slices before this one
 
     def open(self) -> "LakeState":
         """Apply what is entered but not applied; of a lake that was built by full runs, read the tables once."""
+        marks = set(names_in(self.spark, f"{self.base}/marks"))
         if self.ids.manifest() is None and table_exists(self.spark, self.lake.silver):
             self._from_tables()
-        for number in sorted(self.entries()):
-            if number > min(p.applied() for p in (self.waiting, self.ids)) or not self._marked(number, "done"):
-                self._apply(number, repeated=True)
+        for number in self.entries():
+            if f"{number:012d}.done" not in marks:
+                self.apply(number, repeated=True)
         return self
 
-    def apply_last(self) -> None:
-        self._apply(self.last(), repeated=False)
+    def apply(self, number: int, repeated: bool = False) -> None:
+        """Take a slice into silver, quarantine and all states, each of which may have it already."""
+        marks = set(names_in(self.spark, f"{self.base}/marks"))
+        rows = self.rows(number)
 
-    def _marked(self, number: int, what: str) -> bool:
-        return f"{number:012d}.{what}" in names_in(self.spark, f"{self.base}/marks")
+        def mark(what: str) -> None:
+            if f"{number:012d}.{what}" not in marks:
+                write_text(self.spark, f"{self.base}/marks/{number:012d}.{what}", "")
 
-    def _mark(self, number: int, what: str) -> None:
-        write_text(self.spark, f"{self.base}/marks/{number:012d}.{what}", "")
-
-    def _apply(self, number: int, repeated: bool) -> None:
         for name, target, keys in (
             ("published", self.lake.silver, EVENT_KEY), ("rejects", self.lake.invalid, OFFSET_KEYS)
         ):
-            if self._marked(number, name):
+            if f"{number:012d}.{name}" in marks:
                 continue
-            rows, path = self.rows(number, name), self.lake.path(target)
             if repeated:  # an append may have happened before the failure
-                insert_unseen(rows, target, path, keys)
-            elif not sinks.create_if_absent(rows, target, path):
-                sinks.append_rows(rows, target)
-            self._mark(number, name)
-        keys = self.rows(number, "keys")
-        if self.ids.applied() < number:
-            self._add_ids(keys, number)
-        if self.tops.applied() < number:
-            self._add_numbers(keys, number)
-        if self.offsets.applied() < number:
-            self._add_offsets(self.rows(number, "offsets"), number)
-        if self.waiting.applied() < number:
-            done = self.rows(number, "published").select(*EVENT_KEY)
-            left = self.waiting.read().drop(PART).join(done, list(EVENT_KEY), "left_anti")
-            rows = left.unionByName(self.rows(number, "waiting")).select(*BRONZE_SCHEMA.names)
-            self.waiting.replace(first_by(rows, EVENT_KEY, EVENT_KEY).withColumn(PART, F.lit(ALL)), number, emptied=[ALL])
-        if not self._marked(number, "done"):
-            self._mark(number, "done")
+                insert_unseen(rows[name], target, self.lake.path(target), keys)
+            elif not sinks.create_if_absent(rows[name], target, self.lake.path(target)):
+                sinks.append_rows(rows[name], target)
+            mark(name)
+        self._add_ids(rows["taken"], number)
+        self._add_numbers(rows["taken"], number)
+        self._add_offsets(rows["offsets"], number)
+        self._keep_waiting(rows, number)
+        mark("done")
+
+    def _keep_waiting(self, rows: dict[str, DataFrame], number: int) -> None:
+        if self.waiting.applied() >= number:
+            return
+        new = rows["taken"].filter("raw IS NOT NULL").select("raw.*")
+        if not self.waiting.held():
+            if new.isEmpty():
+                self.waiting.publish({}, number)
+                return
+            left = new
+        else:
+            done = rows["published"].select(*EVENT_KEY)
+            left = self.waiting.read().drop(PART).join(done, list(EVENT_KEY), "left_anti").unionByName(new)
+        kept = first_by(left, EVENT_KEY, EVENT_KEY).withColumn(PART, F.lit(ALL))
+        self.waiting.replace(kept, number, emptied=[ALL])
 
     def _from_tables(self) -> None:
         silver, invalid = table(self.spark, self.lake.silver), table(self.spark, self.lake.invalid)
@@ -183,19 +199,21 @@ class LakeState:
 
     def _add_ids(self, keys: DataFrame, number: int) -> None:
         """Ids of the slice into the parts of their dates; only these get a new filter."""
+        if self.blooms.applied() >= number:
+            return
         touched = parts_of(keys, F.col(PART))
-        ids = self.ids.read(touched).unionByName(keys.select(*EVENT_KEY, PART)).distinct()
-        ids = cut_lineage(ids)
+        if self.ids.applied() < number:
+            self.ids.replace(self.ids.read(touched).unionByName(keys.select(*EVENT_KEY, PART)).distinct(), number)
+        ids = self.ids.read(touched)
         sizes = {r[0]: max(1, -(-r[1] * BITS_PER_ID // BUCKET_BITS)) for r in ids.groupBy(PART).count().collect()}
         self.blooms.replace(bloom_filters(ids, sizes), number, notes=sizes)
-        self.ids.replace(ids, number)
 
     def unseen_events(self, arrived: DataFrame) -> DataFrame:
         """Rows of a staged frame whose id was never taken before."""
         sizes = (manifest := self.blooms.manifest()) and manifest.notes
         if not sizes:
             return arrived
-        hits = cut_lineage(bloom_hits(arrived.select(*EVENT_KEY), self.blooms.read(), sizes))
+        hits = bloom_hits(arrived.select(*EVENT_KEY), self.blooms.read(), sizes)
         opened = parts_of(hits, F.col(PART))
         if not opened:
             return arrived
@@ -205,9 +223,12 @@ class LakeState:
     # Numbers
 
     def _add_numbers(self, keys: DataFrame, number: int) -> None:
-        merged = cut_lineage(self.merged_runs(keys))
-        self.runs.replace(merged, number)
-        heights = merged.select(*DEVICE_KEYS, F.col(PART).alias("block"), "hi")
+        if self.tops.applied() >= number:
+            return
+        if self.runs.applied() < number:
+            self.runs.replace(self.merged_runs(keys), number)
+        touched = parts_of(keys, block_part("seq_num", NUMBER_BITS))
+        heights = self.runs.read(touched).select(*DEVICE_KEYS, F.col(PART).alias("block"), "hi")
         known = self.tops.read().drop(PART).unionByName(heights)
         tops = known.groupBy(*DEVICE_KEYS, "block").agg(F.max("hi").alias("hi"))
         self.tops.replace(tops.withColumn(PART, F.lit(ALL)), number)
@@ -220,26 +241,30 @@ class LakeState:
         merged = merge_runs(old.unionByName(as_runs(keys, DEVICE_KEYS, "seq_num")), DEVICE_KEYS)
         return merged.withColumn(PART, block_part("lo", NUMBER_BITS))
 
-    def with_previous(self, fresh: DataFrame, ready: DataFrame) -> DataFrame:
+    def with_previous(self, fresh: DataFrame, ready: DataFrame | None) -> DataFrame:
         """The number before each row's own, among all numbers of its device so far and those of the slice.
 
         A new row with a number that was seen before follows that number. ``ready`` rows waited, so their
         own numbers have been seen; they look below them.
         """
-        blocks = parts_of(fresh, block_part("seq_num", NUMBER_BITS))
-        old = cut_lineage(self.runs.read(blocks).drop(PART))
-        devices = bounded_broadcast(cut_lineage(fresh.select(*DEVICE_KEYS).unionByName(ready.select(*DEVICE_KEYS)).distinct()))
+        part = block_part("seq_num", NUMBER_BITS)
+        blocks = parts_of(fresh, part)
+        old = self.runs.read(blocks).drop(PART)
+        both = fresh.select(*DEVICE_KEYS)
+        devices = bounded_broadcast((both if ready is None else both.unionByName(ready.select(*DEVICE_KEYS))).distinct())
         tops = self.tops.read().drop(PART, "block").join(devices, list(DEVICE_KEYS), "left_semi")
 
         def ends(runs: DataFrame) -> DataFrame:
             below = runs.select(*DEVICE_KEYS, "hi").unionByName(tops)
             return below.select(*DEVICE_KEYS, F.col("hi").alias("seq_num"), F.lit(None).cast("string").alias(EVENT_KEY[0])).distinct()
 
-        marked = cut_lineage(mark_members(fresh, old, DEVICE_KEYS, "seq_num", "_start"))
-        new = previous_seq(marked.filter("_start IS NULL").drop("_start"), history=ends(old))
-        again = marked.filter("_start IS NOT NULL").drop("_start").withColumn(PREVIOUS, F.col("seq_num"))
-        found = new.unionByName(again)
-        if ready.isEmpty():
+        if not set(blocks) & set(self.runs.held()):
+            found = previous_seq(fresh, history=ends(old))
+        else:
+            marked = mark_members(fresh, old, DEVICE_KEYS, "seq_num", "_start")
+            new = previous_seq(marked.filter("_start IS NULL").drop("_start"), history=ends(old))
+            found = new.unionByName(marked.filter("_start IS NOT NULL").drop("_start").withColumn(PREVIOUS, F.col("seq_num")))
+        if ready is None:
             return found
         merged = cut_lineage(self.merged_runs(fresh, ready).drop(PART))
         placed = cut_lineage(mark_members(ready, merged, DEVICE_KEYS, "seq_num", "_start"))
@@ -251,22 +276,29 @@ class LakeState:
     # Offsets
 
     def _add_offsets(self, runs: DataFrame, number: int) -> None:
+        if self.offsets.applied() >= number:
+            return
         touched = parts_of(runs, block_part("lo", OFFSET_BITS))
         merged = merge_runs(self.offsets.read(touched).drop(PART).unionByName(runs), OFFSET_KEYS[:1])
         self.offsets.replace(merged.withColumn(PART, block_part("lo", OFFSET_BITS)), number)
 
-    def unseen_offsets(self, rows: DataFrame) -> DataFrame:
-        """Rows whose source offset was in no slice before; those without an offset are always new."""
-        seen = self.offsets.read(parts_of(rows, block_part(OFFSET_KEYS[1], OFFSET_BITS))).drop(PART)
-        marked = mark_members(rows, seen, OFFSET_KEYS[:1], OFFSET_KEYS[1], "_start")
+    def unseen_offsets(self, rows: DataFrame, batch: DataFrame) -> DataFrame:
+        """Of these rows of a slice, those whose source offset was in no slice before; NULL offsets are always new."""
+        touched = parts_of(batch, block_part(OFFSET_KEYS[1], OFFSET_BITS)) if self.offsets.held() else []
+        if not set(touched) & set(self.offsets.held()):
+            return rows
+        marked = mark_members(rows, self.offsets.read(touched).drop(PART), OFFSET_KEYS[:1], OFFSET_KEYS[1], "_start")
         return marked.filter("_start IS NULL").drop("_start")
 
     # Waiting records
 
-    def ready(self, master: DataFrame) -> DataFrame:
-        """Waiting records whose zone has arrived in the reference data."""
+    def ready(self, master: DataFrame) -> DataFrame | None:
+        """Waiting records whose zone has arrived in the reference data; None if there are none."""
+        if not self.waiting.held():
+            return None
         known = bounded_broadcast(master.filter("crop_type IS NOT NULL").select(*ZONE_KEYS))
-        return self.waiting.read().drop(PART).join(known, list(ZONE_KEYS), "left_semi").select(*BRONZE_SCHEMA.names)
+        found = self.waiting.read().drop(PART).join(known, list(ZONE_KEYS), "left_semi").select(*BRONZE_SCHEMA.names)
+        return None if found.isEmpty() else cut_lineage(found)
 
 
 def month_part() -> Column:
