@@ -32,8 +32,8 @@ _OTHER = rf"{_IP}|\d{{3}}-\d{{2,3}}-\d{{4}}(?![\p{{L}}\p{{N}}-])"
 #: Patterns by type, in the order in which they are tried at one place. No match spans white space
 #: other than the blanks written here, and every repetition is bounded.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}])[\p{L}\p{N}][\p{L}\p{N}._+-]{0,63}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
-    "secret": r"(?i:token|secret|password|api_?key)(?: ?[=:] ?)[\"'][\x21\x23-\x26\x28-\x7E]{8,128}[\"']",
+    "email": r"(?<![\p{L}\p{N}])[\p{L}\p{N}][\p{L}\p{N}._+-]{0,254}@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
+    "secret": r"(?i:token|secret|password|api_?key)(?: ?[=:] ?)[\"'][\x21\x23-\x26\x28-\x7E]{8,4096}[\"']",
     "phone": r"(?<![\p{L}\p{N}+.])\+\d{1,3}(?:[ .-]?\(\d{1,4}\))?(?:[ .-]?\d{2,4}){2,4}(?![\p{L}\p{N}])"
              r"|(?<![\p{L}\p{N}+.(])\(\d{3}\) ?\d{3}[.-]\d{4}(?![\p{L}\p{N}])"
              r"|(?<![\p{L}\p{N}+.-])\d{3}-\d{3}-\d{4}(?![\p{L}\p{N}-])",
@@ -60,6 +60,19 @@ ALPHABETS = (
     ("[ß-öø-ÿ]", "àâäçèéêëîïñôöùûü"),
     ("[α-ω]", "αβγδεζηθικλμνξοπρστυφχψω"),
     ("[а-я]", "абвгдежзийклмнопрстуфхцчшщъыьэюя"),
+    (r"\p{IsLatin}", "ăąćčďđęěğįłńňőřśşšťůűźżž"),
+    (r"\p{IsCyrillic}", "ђєіїјљњћўџґ"),
+    (r"\p{IsGreek}", "άέήίόύώ"),
+    (r"\p{IsHan}", "山川水火木金土日月田石竹花草風雨雪雲星海"),
+    (r"\p{IsHiragana}", "あいうえおかきくけこさしすせそたちつてと"),
+    (r"\p{IsKatakana}", "アイウエオカキクケコサシスセソタチツテト"),
+    (r"\p{IsHangul}", "가나다라마바사아자차카타파하고노도로모보"),
+    (r"\p{IsArabic}", "ابتجحدرسصطعفقكلمنهوي"),
+    (r"\p{IsHebrew}", "אבגדהוזחטיכלמנסעפצקר"),
+    (r"\p{IsDevanagari}", "कखगघचछजझटठडढतथदधनपफब"),
+    (r"\p{IsThai}", "กขคงจฉชซญดตถทธนบปผพฟ"),
+    # Letters of any other script, as a last resort.
+    (r"\p{L}", "abcdefghijklmnopqrstuvwxyz"),
 )
 # Vowels, consonants and endings that names are made of, by script.
 NAME_PARTS = (
@@ -70,6 +83,16 @@ NAME_PARTS = (
 ATTEMPTS = 30
 
 
+#: From this attempt on a surrogate gets one letter or digit more with each, as its own length is used up.
+WIDER_FROM = 3
+
+
+def _wider(digest: Column, attempt: Column, letters: str = "bdfgklmnprstvaei") -> Column:
+    """Further letters (or digits) of an entity that drew often; none for the first draws."""
+    more = F.least(F.greatest(attempt - (WIDER_FROM - 1), F.lit(0)), F.lit(100))
+    return F.translate(F.substr(digest, F.lit(20), more), "0123456789abcdef", letters)
+
+
 def _hex(digest: Column, i: Column | int, below: int) -> Column:
     """The ``i``-th number below ``below`` of a 512-bit digest."""
     at = (F.lit(i) if isinstance(i, int) else i) * 2 % 124 + 1
@@ -152,7 +175,7 @@ def _scrambled(text: Column, digest: Column) -> Column:
     """Every letter and digit replaced by one of its own kind and case; anything else stays."""
 
     def swapped(c, low, number):
-        new = F.when(c.rlike("[0-9]"), (number % 10).cast("string"))
+        new = F.when(c.rlike(r"\p{N}"), (number % 10).cast("string"))
         for pattern, letters in ALPHABETS:
             new = new.when(low.rlike(f"^{pattern}$"), _pick(letters, number % len(letters)))
         return new.otherwise(c)
@@ -204,19 +227,19 @@ def _new_name(word: Column, digest: Column, gender: Column | None) -> Column:
 def core(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     """The normalised surrogate of an entity."""
     tries = attempt.cast("string")
-    return _let(_digest(key, kind, norm, tries), lambda digest: _core(key, kind, norm, tries, digest))
+    return _let(_digest(key, kind, norm, tries), lambda digest: _core(key, kind, norm, attempt, tries, digest))
 
 
-def _core(key: str, kind: Column, norm: Column, tries: Column, digest: Column) -> Column:
+def _core(key: str, kind: Column, norm: Column, attempt: Column, tries: Column, digest: Column) -> Column:
     local, domain = F.regexp_extract(norm, "^([^@]*)@", 1), F.regexp_extract(norm, r"@(.*)\.[^.]*$", 1)
     top = F.regexp_extract(norm, r"\.[^.]*$", 0)
     # Addresses of one domain stay together.
     email = F.concat(
-        _scrambled(local, digest), F.lit("@"),
+        _scrambled(local, digest), _wider(digest, attempt), F.lit("@"),
         _let(_digest(key, F.lit("domain"), domain), lambda own: _scrambled(domain, own)), top,
     )
     ip = F.array_join(F.transform(F.split(norm, r"\."), lambda _, i: (_hex(digest, i, 254) + 1).cast("string")), ".")
-    number = _new_digits(norm, digest)
+    number = F.concat(_new_digits(norm, digest), _wider(digest, attempt, "0123456789012345"))
     words = F.split(F.substr(norm, F.lit(3)), " ")
 
     def name(word, i):
@@ -228,11 +251,13 @@ def _core(key: str, kind: Column, norm: Column, tries: Column, digest: Column) -
             _let(_digest(key, F.lit("family"), word, family), lambda own: _new_name(word, own, None)),
         ).otherwise(_let(_digest(key, F.lit("given"), gender, word, tries), lambda own: _new_name(word, own, gender)))
 
-    person = F.concat(F.substr(norm, F.lit(1), F.lit(2)), F.lower(F.array_join(F.transform(words, name), " ")))
+    person = F.concat(
+        F.substr(norm, F.lit(1), F.lit(2)), F.lower(F.array_join(F.transform(words, name), " ")), _wider(digest, attempt)
+    )
     return (
         F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", _valid_card(number))
         .when(kind.isin("phone", "ssn"), number).when(kind == "person", person)
-        .when(kind == "secret", _scrambled(norm, digest))
+        .when(kind == "secret", F.concat(_scrambled(norm, digest), _wider(digest, attempt)))
     )
 
 
@@ -245,7 +270,7 @@ def rendered(kind: Column, surface: Column, made: Column) -> Column:
             c.rlike("[0-9]"),
             F.struct(F.concat(a["text"], F.substr(made, a["at"], F.lit(1))).alias("text"), (a["at"] + 1).alias("at")),
         ).otherwise(F.struct(F.concat(a["text"], c).alias("text"), a["at"].alias("at"))),
-        lambda a: a["text"],
+        lambda a: F.concat(a["text"], F.substr(made, a["at"], F.length(made))),
     )
     cased = F.array_join(
         F.zip_with(F.split(surface, ""), F.split(made, ""), lambda s, m: F.when(s != F.lower(s), F.upper(m)).otherwise(m)), ""
@@ -301,8 +326,9 @@ def entities(docs: DataFrame, text: str = "text") -> DataFrame:
 def settle(found: DataFrame, key: str, attempts: int = ATTEMPTS) -> DataFrame:
     """``(kind, norm, attempt, made)``: distinct surrogates, none of them an entity of the corpus.
 
-    Of entities that clash the least keeps its draw; the rest draw again. After ``attempts`` rounds the
-    space of a type is as good as used up and an error says so.
+    Of entities that clash the least keeps its draw; the rest draw again, from the third time on with one
+    letter or digit more each time, so that a space that is used up widens. Only addresses of machines
+    (``ip``) cannot widen; what still clashes after ``attempts`` rounds keeps its last draw.
     """
     found = cut_lineage(found)
     settled = cut_lineage(found.withColumn("attempt", F.lit(0)).withColumn("made", core(key, F.col("kind"), F.col("norm"), F.lit(0))))
@@ -321,7 +347,7 @@ def settle(found: DataFrame, key: str, attempts: int = ATTEMPTS) -> DataFrame:
         settled = cut_lineage(
             again.select("kind", "norm", "attempt", core(key, F.col("kind"), F.col("norm"), F.col("attempt")).alias("made"))
         )
-    raise ValueError(f"no distinct surrogates after {attempts} attempts")
+    return settled
 
 
 def pseudonymise(docs: DataFrame, key: str = "surrogates", text: str = "text", attempts: int = ATTEMPTS) -> DataFrame:
@@ -336,18 +362,21 @@ def pseudonymise(docs: DataFrame, key: str = "surrogates", text: str = "text", a
     * An input column named ``n_replaced`` is replaced.
     """
     kept = without(docs, "n_replaced")
-    settled = settle(entities(kept, text), key, attempts)
+    # Columns of the input stay in a struct: no name of theirs can meet one used here.
+    packed = kept.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"))
+    whole = F.col("_text")
+    settled = settle(entities(packed, "_text"), key, attempts)
     late = cut_lineage(settled.filter("attempt > 0").select("kind", "norm", "attempt"))
-    rows = kept.withColumn("_found", matches(F.col(text)))
+    rows = packed.withColumn("_found", matches(whole))
     if late.isEmpty():
         rows = rows.withColumn("_late", F.lit(None).cast("map<string,int>"))
     else:
-        keyed = kept.select(F.md5(F.col(text).cast("binary")).alias("_print"), F.explode(mentions(F.col(text))).alias("surface"))
+        keyed = packed.select(F.md5(whole.cast("binary")).alias("_print"), F.explode(mentions(whole)).alias("surface"))
         keyed = keyed.withColumn("kind", type_of(F.col("surface"))).withColumn("norm", normal_form(F.col("kind"), F.col("surface")))
         of_text = keyed.join(small_side(late), ["kind", "norm"]).groupBy("_print").agg(
             F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\u0001", "kind", "norm"), "attempt"))).alias("_late")
         )
-        rows = rows.withColumn("_print", F.md5(F.col(text).cast("binary"))).join(
+        rows = rows.withColumn("_print", F.md5(whole.cast("binary"))).join(
             small_side(cut_lineage(of_text)), "_print", "left"
         ).drop("_print")
 
@@ -364,15 +393,15 @@ def pseudonymise(docs: DataFrame, key: str = "surrogates", text: str = "text", a
         return _let(typed, lambda t: F.when(t["kind"].isNull(), t["surface"]).otherwise(named(t)))
 
     def named(t):
-        whole = F.struct(t["surface"].alias("surface"), t["kind"].alias("kind"), normal_form(t["kind"], t["surface"]).alias("norm"))
-        return _let(whole, made)
+        entity = F.struct(t["surface"].alias("surface"), t["kind"].alias("kind"), normal_form(t["kind"], t["surface"]).alias("norm"))
+        return _let(entity, made)
 
     def made(w):
         attempt = F.coalesce(F.try_element_at(F.col("_late"), F.concat_ws("\u0001", w["kind"], w["norm"])), F.lit(0))
         return _let(core(key, w["kind"], w["norm"], attempt), lambda m: rendered(w["kind"], w["surface"], m))
 
-    rewritten = joined(F.split(F.col(text), ANY, -1), F.col("_found"), replace)
+    rewritten = joined(F.split(whole, ANY, -1), F.col("_found"), replace)
     count = F.size(F.filter(_within(F.col("_found")), lambda s: type_of(s).isNotNull()))
-    changed = F.when(F.size("_found") > 0, rewritten).otherwise(F.col(text))
-    names = [F.col(f"`{c}`") if c != text else changed.alias(text) for c in kept.columns]
+    changed = F.when(F.size("_found") > 0, rewritten).otherwise(whole)
+    names = [F.col("_row").getField(c).alias(c) if c != text else changed.alias(text) for c in kept.columns]
     return rows.select(*names, count.alias("n_replaced"))

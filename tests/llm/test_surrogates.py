@@ -1,6 +1,5 @@
 import re
 
-import pytest
 from pyspark.sql import functions as F
 
 from fieldgauge.llm import surrogates as P
@@ -88,8 +87,10 @@ def test_clashes_draw_again(spark, monkeypatch):
     settled = P.settle(found, "k").collect()
     made = [r["made"] for r in settled]
     assert len(set(made)) == 30 and not set(made) & {f"1{i:02d}" for i in range(30)} and any(r["attempt"] for r in settled)
-    with pytest.raises(ValueError):
-        P.settle(spark.createDataFrame([("ssn", f"1{i}") for i in range(10)], "kind string, norm string"), "k", attempts=4)
+    # All draws are entities: the space widens by a digit instead.
+    full = [f"1{i}" for i in range(10)]
+    made = [r["made"] for r in P.settle(spark.createDataFrame([("ssn", n) for n in full], "kind string, norm string"), "k").collect()]
+    assert len(set(made)) == 10 and not set(made) & set(full)
 
 
 def test_late_draws_reach_the_texts(spark, monkeypatch):
@@ -121,3 +122,38 @@ def test_edges(spark, documents):
 def test_no_python_in_the_plan(documents):
     plan = P.pseudonymise(documents([(1, "8.8.8.8", None, None)]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def rewritten(spark, *texts):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r["doc_id"]: (r["text"], r["n_replaced"]) for r in P.pseudonymise(df).collect()}
+
+
+def test_letters_of_any_script_are_replaced(spark):
+    texts = ["李@例子.cn here", "李小龙@example.com", "علي@example.com", "łukasz@example.com", "דוד@example.com", "ლევან@example.com", "한국@example.com"]
+    for i, (text, n) in rewritten(spark, *texts).items():
+        assert n == 1 and "@" in text
+        local = texts[i].split("@")[0]
+        new = text.split("@")[0]
+        assert len(new) == len(local) and sum(a == b for a, b in zip(local, new)) <= len(local) // 2, text
+
+
+def test_a_dense_space_widens(spark):
+    """All one-letter addresses of a domain, twice over in two cases: 26 entities, 26 surrogates, none of them real."""
+    texts = [f"{c}@x.com and {c.upper()}@X.com" for c in "abcdefghijklmnopqrstuvwxyz"]
+    found = rewritten(spark, *texts)
+    pairs = [text.lower().split(" and ") for text, n in found.values() if n == 2]
+    assert len(pairs) == 26 and all(a == b for a, b in pairs)
+    assert len({a for a, _ in pairs}) == 26 and not {a for a, _ in pairs} & {f"{c}@x.com" for c in "abcdefghijklmnopqrstuvwxyz"}
+
+
+def test_long_addresses_and_secrets_are_replaced(spark):
+    local, secret = "a" * 70, "x1" * 70
+    found = rewritten(spark, f"to {local}@example.com", f'token = "{secret}"')
+    assert local not in found[0][0] and secret not in found[1][0] and found[0][1] == found[1][1] == 1
+
+
+def test_columns_named_like_inner_ones_stay(spark):
+    df = spark.createDataFrame([("j@x.org", "f", "l", "p", "r")], "text string, _found string, _late string, _print string, _row string")
+    (row,) = P.pseudonymise(df).collect()
+    assert tuple(row)[1:5] == ("f", "l", "p", "r") and row["text"] != "j@x.org" and row["n_replaced"] == 1
