@@ -30,7 +30,7 @@ SWITCH_PENALTY = 12.0
 SLICE_BYTES = 2 * 2**20
 #: A word of one language is at most this much likelier than of another, so one odd word decides little.
 WORD_LIMIT = 8.0
-#: Languages a model holds; one bucket row of counts each.
+#: Languages a model may hold, one bucket row of counts each; more labels are an error.
 MAX_LANGUAGES = 1_000
 
 # First and last code point of scripts, in order.
@@ -162,14 +162,16 @@ def learn(
     """A model of the languages in ``lang``, from about ``sample_rows`` rows of each, picked by hash.
 
     Whole texts are counted. What reaches the driver is at most one count per bucket and language.
-    None if no row has both a text and a language.
+    None if no row has both a text and a language; an error above ``MAX_LANGUAGES`` of them, as none is left out.
     """
     rows = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = {
         r["lang"]: r["n"]
         for r in rows.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+        .limit(MAX_LANGUAGES + 1).collect()
     }
+    if len(sizes) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages in {lang}: is it a column of language codes?")
     if not sizes:
         return None
     languages = sorted(sizes)
@@ -193,12 +195,16 @@ def learn(
     return Model(languages, np.ascontiguousarray(log_prob), allowed)
 
 
-def word_scores(words: Words, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Scores (word, language) of distinct words, the best being 0, and their numbers of letters."""
+def word_scores(words: Words, model: Model, excluded: float) -> tuple[np.ndarray, np.ndarray]:
+    """Scores (word, language) of distinct words, the best being 0, and their numbers of letters.
+
+    A language that a word's script excludes costs ``excluded``, whatever the n-grams say.
+    """
     grams = grams_of(words.distinct, len(model.log_prob))
     scores = sum(_sums(model.log_prob[found], at) for found, at in grams.by_size)
-    scores = np.where(model.by_script[grams.script], scores, -np.inf)
-    scores = np.maximum(scores - scores.max(axis=1, keepdims=True), -WORD_LIMIT)
+    allowed = model.by_script[grams.script]
+    best = np.where(allowed, scores, -np.inf).max(axis=1, keepdims=True)
+    scores = np.where(allowed, np.maximum(scores - best, -WORD_LIMIT), -excluded)
     scores[grams.letters == 0] = 0.0
     return scores.astype(np.float32), grams.letters
 
@@ -242,6 +248,8 @@ def viterbi(scores: np.ndarray, at: np.ndarray, penalty: float) -> np.ndarray:
 
 def _predict(model: Model, penalty: float, with_spans: bool, text: str, fields: list[str]):
     names = np.array([*model.languages, UNKNOWN], dtype=object)
+    # More than switching to another language for one word and back.
+    excluded = 2 * penalty + WORD_LIMIT
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,7 +260,7 @@ def _predict(model: Model, penalty: float, with_spans: bool, text: str, fields:
         words = split_words(part.column(text))
         n, langs = part.num_rows, len(model.languages)
         if len(words.codes):
-            scores, size = word_scores(words, model)
+            scores, size = word_scores(words, model, excluded)
             count = size[words.codes]
             spoken = np.flatnonzero(count)  # words without a letter belong to no span
             text_of = np.repeat(np.arange(n), np.diff(words.of_text))[spoken]

@@ -53,6 +53,21 @@ def test_script_narrows(documents, model):
     assert {r["doc_id"]: r["lang_pred"] for r in rows}[2] in ("en", "de")
 
 
+def test_words_of_an_excluded_script_are_never_labelled(documents, model):
+    for foreign in (1, 2, 3):
+        mixed = f"{text('en', 15)} {text('ru', foreign)} {text('en', 15, 3)}"
+        (row,) = language.identify(documents([(1, mixed, None, None)]), model).collect()
+        assert [s["lang"] for s in row["spans"]] == ["en", "ru", "en"]
+        start, end = row["spans"][1]["start"], row["spans"][1]["end"]
+        assert mixed[start:end] == text("ru", foreign) and row["lang_pred"] == "en"
+
+
+def test_too_many_labels_are_an_error(documents, labelled, monkeypatch):
+    monkeypatch.setattr(language, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="more than 2 languages"):
+        language.learn(documents(labelled))
+
+
 def test_held_out_accuracy(documents, labelled):
     docs = documents(labelled)
     model = language.learn_documents(docs)

@@ -38,6 +38,20 @@ def test_stages_in_order(spark, documents, tmp_path):
     assert sorted(map(str, C.run(spark, str(tmp_path)).collect())) == sorted(map(str, kept.collect()))
 
 
+def test_texts_in_several_languages_stay(spark, documents):
+    words = {
+        "en": "the house and river with over morning water thing other",
+        "de": "der haus und fluss mit über morgen wasser schön andere",
+        "ru": "дом и река через утро вода вещь другой",
+    }
+    rows = [(i, " ".join(w.split()[i % 5:] * 4), g, "s") for i in range(30) for g, w in words.items()]
+    rows.append((100, "\n".join(" ".join(w.split() * 4) for w in words.values()), None, "s"))
+    rows.append((101, "12 -- 34", "en", "s"))
+    docs = documents([(i, *r[1:]) if r[0] < 100 else r for i, r in enumerate(rows)])
+    kept = {r["doc_id"] for r in C.identify_language(spark, docs, None).collect()}
+    assert 100 in kept and 101 not in kept and len(kept) == 91
+
+
 def test_an_empty_corpus_passes(spark, documents):
     docs = documents([])
     for _, stage in C.STAGES:
