@@ -14,20 +14,16 @@ from fieldgauge.llm.queries import PIECE_MODEL
 from fieldgauge.llm.shipping import ship_code
 from fieldgauge.session import cut_lineage
 
-#: A document goes if no language holds this share of its letters.
-LEAST_SHARE = 0.4
-
 #: Spans, trees and tokens are not expressible in SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language: those without letters, and those no language prevails in, go."""
+    """Documents in some language or in several; those without text or without a letter go."""
     ship_code(spark)
     model = language.learn_documents(docs)
     found = language.identify(docs, model, spans=False)
-    spoken = found.filter((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SHARE))
-    return spoken.select(*docs.columns)
+    return found.filter(F.col("lang_pred") != language.UNKNOWN).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
