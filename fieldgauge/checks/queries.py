@@ -13,7 +13,7 @@ from fieldgauge.checks.fixtures import NOW, envelope, load, reference, telemetry
 from fieldgauge.config import EVENT_KEY, LIMITS, STATUS_COLUMNS, ZONE_KEYS
 from fieldgauge.functions import expressions as X
 from fieldgauge.operators import audit, listing, merge
-from fieldgauge.operators.alerts import alert_lifecycle, current_alert_conditions, open_alerts
+from fieldgauge.operators.alerts import current_alert_conditions, episode_history, open_alerts
 from fieldgauge.operators.current import current_status
 from fieldgauge.operators.enrich import MATCHED, enrich, flag_matched
 from fieldgauge.operators.grouping import dedup_first, duplicate_keys, latest_per_key
@@ -328,31 +328,27 @@ def active_alerts(spark, sf_dir):
 
 @registered
 def alert_episodes(spark, sf_dir):
-    """One merge per day of data, each over the state at that day's end.
+    """What one merge per day of data leaves, each over the states at that day's end.
 
-    Silver is reduced to the newest reading per zone and day, and each zone's state is carried forward
-    over the days it is silent, once; a merge reads the states of its own day.
+    Silver is reduced to the newest reading per zone and day; such a reading is its zone's state until the
+    day of the next one.
     """
     newest = [F.desc(c) for c in ("event_timestamp", "eventhub_enqueued_time", "eventhub_offset")]
-    dated = _published(spark, sf_dir).withColumn("_day", F.to_date("event_timestamp"))
+    dated = _published(spark, sf_dir).withColumn("_day", F.to_date("event_timestamp")).filter("_day IS NOT NULL")
     daily = cut_lineage(latest_per_key(dated, [*ZONE_KEYS, "_day"], newest))
     first, last = daily.agg(F.min("_day"), F.max("_day")).first()
-    days = F.explode(F.sequence(F.lit(first), F.lit(last)))
-    reading = F.struct(*[c for c in daily.columns if c not in ("_day",)]).alias("reading")
-    every = daily.select(*ZONE_KEYS).distinct().withColumn("_day", days)
-    so_far = Window.partitionBy(*ZONE_KEYS).orderBy("_day").rowsBetween(Window.unboundedPreceding, 0)
-    states = every.join(daily.select(*ZONE_KEYS, "_day", reading), [*ZONE_KEYS, "_day"], "left").select(
-        "_day", F.last("reading", ignorenulls=True).over(so_far).alias("reading")
-    )
-    states = cut_lineage(states.filter("reading IS NOT NULL").select("_day", "reading.*"))
-    episodes = None
-    for batch in range((last - first).days + 1):
-        batch_now = F.date_add(F.lit(first), batch + 1).cast("timestamp")
-        at_end = states.filter(F.col("_day") == F.date_add(F.lit(first), batch)).drop("_day")
-        sightings = open_alerts(current_status(at_end, batch_now), batch_now)
-        merged = sightings if episodes is None else alert_lifecycle(episodes, sightings, batch_now)
-        episodes = cut_lineage(merged)
-    return episodes
+    batches = 0 if first is None else (last - first).days + 1
+
+    def number(day: Column) -> Column:
+        return F.datediff(day, F.lit(first)) + 1
+
+    following = F.lead("_day").over(Window.partitionBy(*ZONE_KEYS).orderBy("_day"))
+    states = daily.withColumns({
+        "last_reading_at": F.col("event_timestamp"),
+        "_from": number(F.col("_day")),
+        "_to": F.coalesce(number(following) - 1, F.lit(batches)),
+    })
+    return episode_history(states, "_from", "_to", batches, lambda n: F.date_add(F.lit(first), n).cast("timestamp"))
 
 
 @registered
@@ -527,7 +523,7 @@ def out_of_range(spark, sf_dir):
 @registered
 def validation_report(spark, sf_dir):
     silver = cut_lineage(_published(spark, sf_dir))
-    current = current_status(silver, now())
+    current = cut_lineage(current_status(silver, now()))
     return audit.validation_report(silver, current, open_alerts(current, now()), daily_kpi(silver, now()))
 
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldgauge.config import ACTIVE, ALERT_KEY, METRICS, RESOLVED, ZONE_KEYS, Metric
@@ -29,19 +29,22 @@ def _condition(metric: Metric) -> str:
     )
 
 
-def current_alert_conditions(current: DataFrame, metrics: Sequence[Metric] = METRICS) -> DataFrame:
-    """One row per abnormal metric of each current state, from a single scan."""
+def current_alert_conditions(
+    current: DataFrame, metrics: Sequence[Metric] = METRICS, carry: Sequence[str] = ()
+) -> DataFrame:
+    """One row per abnormal metric of each current state, from a single scan; ``carry`` names further columns to keep."""
     every = ", ".join(_condition(m) for m in metrics)
     abnormal = f"inline(filter(array({every}), c -> c.metric_status IN ('LOW', 'HIGH')))"
     return current.select(
-        *ALERT_DIMENSIONS, "severity", F.col("last_reading_at").alias("detected_at"), F.expr(abnormal)
+        *ALERT_DIMENSIONS, "severity", F.col("last_reading_at").alias("detected_at"), *carry, F.expr(abnormal)
     ).select(
         *ALERT_DIMENSIONS,
         "alert_type", "current_value", "min_threshold", "max_threshold", "metric_status", "severity", "detected_at",
+        *carry,
     )
 
 
-def alert_identity(conditions: DataFrame, now: Column) -> DataFrame:
+def alert_identity(conditions: DataFrame, now: Column, carry: Sequence[str] = ()) -> DataFrame:
     """Give each condition its key and id and open it as an episode."""
     return (
         conditions.withColumn(ALERT_KEY, X.alert_key([*ZONE_KEYS, "alert_type"]))
@@ -55,12 +58,12 @@ def alert_identity(conditions: DataFrame, now: Column) -> DataFrame:
                 "gold_updated_at": now,
             }
         )
-        .select(*ALERT_COLUMNS)
+        .select(*ALERT_COLUMNS, *carry)
     )
 
 
-def open_alerts(current: DataFrame, now: Column) -> DataFrame:
-    return alert_identity(current_alert_conditions(current), now)
+def open_alerts(current: DataFrame, now: Column, carry: Sequence[str] = ()) -> DataFrame:
+    return alert_identity(current_alert_conditions(current, carry=carry), now, carry)
 
 
 def refreshed(now: Column) -> dict[str, Column | None]:
@@ -77,3 +80,31 @@ def alert_lifecycle(target: DataFrame, sightings: DataFrame, now: Column) -> Dat
     """Refresh episodes seen again, open new ones, resolve those no longer seen."""
     is_open = F.col("alert_status") == ACTIVE
     return merge_episodes(target, sightings, ALERT_KEY, is_open, refreshed(now), closed(now))
+
+
+def episode_history(
+    states: DataFrame, first: str, last: str, batches: int, clock: Callable[[Column], Column]
+) -> DataFrame:
+    """All episodes that ``alert_lifecycle`` leaves after ``batches`` batches, in one plan and without running them.
+
+    Each state of a zone carries the numbers of the first and the last batch that find it current; states
+    of one zone do not overlap. ``clock`` gives the time of a batch from its number. An episode is a row
+    of states that show the same condition with no batch between them: it begins as its first sighting,
+    takes what a sighting refreshes from its last one, and ends with the batch after, if there was one.
+    """
+    sightings = open_alerts(states, clock(F.col(last)), carry=(first, last))
+    by_key = Window.partitionBy(ALERT_KEY).orderBy(first)
+    begins = F.coalesce(F.col(first) != F.lag(last).over(by_key) + 1, F.lit(True))
+    told = sightings.withColumn("_begins", begins.cast("int")).withColumn("_episode", F.sum("_begins").over(by_key))
+    row = F.struct(*ALERT_COLUMNS)
+    episodes = told.groupBy(ALERT_KEY, "_episode").agg(
+        F.min_by(row, first).alias("_opened"), F.max_by(row, last).alias("_seen"), F.max(last).alias("_until")
+    )
+    kept = refreshed(clock(F.col("_until")))
+    over, ended = F.col("_until") < batches, closed(clock(F.col("_until") + 1))
+
+    def value(name: str) -> Column:
+        held = F.col(f"_seen.{name}" if name in kept else f"_opened.{name}")
+        return (F.when(over, ended[name]).otherwise(held) if name in ended else held).alias(name)
+
+    return episodes.select(*[value(c) for c in ALERT_COLUMNS])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -67,13 +67,13 @@ ANOMALY_RATES = "Invalid anomaly rates"
 FRESHNESS = "Gold freshness"
 
 
-def _failures(df: DataFrame, **checks: Column) -> DataFrame:
-    """One row per check, all from one aggregate."""
-    counted = df.agg(*[F.coalesce(count, F.lit(0)).cast("long").alias(name) for name, count in checks.items()])
+def _failures(df: DataFrame, checks: Mapping[str, Column]) -> DataFrame:
+    """One row per check, by its published name, all from one aggregate."""
     rows = F.array(*[
-        F.struct(F.lit(globals()[name]).alias("check_name"), F.col(name).alias("failures")) for name in checks
+        F.struct(F.lit(name).alias("check_name"), F.coalesce(count, F.lit(0)).cast("long").alias("failures"))
+        for name, count in checks.items()
     ])
-    return counted.select(F.inline(rows))
+    return df.agg(rows.alias("rows")).select(F.inline("rows"))
 
 
 def validation_report(silver: DataFrame, current: DataFrame, alerts: DataFrame, kpi: DataFrame) -> DataFrame:
@@ -90,11 +90,14 @@ def validation_report(silver: DataFrame, current: DataFrame, alerts: DataFrame,
         F.count("*").alias("rows"), F.count_if(bad_health_score()).alias("health"), F.count_if(bad_anomaly_rate()).alias("rate")
     )
     checks = [
-        _failures(duplicate_keys(silver, EVENT_KEY), SILVER_DUPLICATES=F.count("*")),
-        _failures(compared, CURRENT_DUPLICATES=F.count_if(F.col("rows") > 1), FRESHNESS=F.sum(F.greatest(late, F.lit(0)))),
-        _failures(active_duplicates(alerts), ALERT_DUPLICATES=F.count("*")),
+        _failures(duplicate_keys(silver, EVENT_KEY), {SILVER_DUPLICATES: F.count("*")}),
         _failures(
-            days, DAILY_DUPLICATES=F.count_if(F.col("rows") > 1), HEALTH_SCORES=F.sum("health"), ANOMALY_RATES=F.sum("rate")
+            compared, {CURRENT_DUPLICATES: F.count_if(F.col("rows") > 1), FRESHNESS: F.sum(F.greatest(late, F.lit(0)))}
+        ),
+        _failures(active_duplicates(alerts), {ALERT_DUPLICATES: F.count("*")}),
+        _failures(
+            days,
+            {DAILY_DUPLICATES: F.count_if(F.col("rows") > 1), HEALTH_SCORES: F.sum("health"), ANOMALY_RATES: F.sum("rate")},
         ),
     ]
     each = reduce(DataFrame.unionByName, checks)

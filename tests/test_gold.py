@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tests.data import at, bronze, master, record
 
 from fieldgauge.operators import audit, listing
-from fieldgauge.operators.alerts import alert_lifecycle, current_alert_conditions, open_alerts
+from fieldgauge.operators.alerts import alert_lifecycle, current_alert_conditions, episode_history, open_alerts
 from fieldgauge.operators.current import current_status
 from fieldgauge.operators.kpi import daily_kpi
 from fieldgauge.plans.silver import build_silver
@@ -147,3 +147,38 @@ def test_severity_can_be_sorted_by_weight(spark):
     )
     assert [r.severity for r in listing.active_alerts(alerts).collect()] == ["MEDIUM", "LOW", "HIGH"]
     assert [r.severity for r in listing.active_alerts(alerts, by_rank=True).collect()] == ["HIGH", "MEDIUM", "LOW"]
+
+
+def test_history_equals_one_merge_after_the_other(spark):
+    # Two zones, ten batches: a condition that lasts, recurs, flips and is carried over silent batches.
+    readings = {
+        "Z1": {1: 5.0, 2: 5.2, 4: 6.5, 5: 8.0, 6: 5.0, 9: 5.1}, "Z2": {3: 6.5, 4: 8.1, 8: 8.2, 10: 8.3}, "Z3": {2: 5.0, 10: 6.5},
+    }
+    rows = [record(100 * z + n, zone_id=zone, device_id=zone, ph=ph)
+            for z, (zone, phs) in enumerate(readings.items()) for n, ph in phs.items()]
+    number = {r["event_id"]: n for r, n in zip(rows, [n for phs in readings.values() for n in phs])}
+    held = [
+        (zone, phs[n], n, min([m for m in phs if m > n], default=11) - 1) for zone, phs in readings.items() for n in phs
+    ]
+    batch_of = spark.createDataFrame(list(number.items()), "event_id string, n int")
+    until = spark.createDataFrame([(z, n, to) for z, _, n, to in held], "zone_id string, n int, upto int")
+    good = cut_lineage(
+        silver(spark, rows, {"zone_id": "Z1"}, {"zone_id": "Z2"}, {"zone_id": "Z3"}).join(batch_of, "event_id").join(until, ["zone_id", "n"])
+        .withColumn("last_reading_at", F.col("event_timestamp"))
+    )
+
+    def clock(n):
+        return F.timestamp_add("DAY", n, at("2024-03-02"))
+
+    merged = None
+    for n in range(1, 11):
+        seen = open_alerts(good.filter(f"n <= {n} AND upto >= {n}"), clock(F.lit(n)))
+        merged = cut_lineage(seen if merged is None else alert_lifecycle(merged, seen, clock(F.lit(n))))
+    told = episode_history(good, "n", "upto", 10, clock)
+    assert merged.count() == 5 and told.columns == merged.columns
+    assert sorted(map(str, told.collect())) == sorted(map(str, merged.collect()))
+
+
+def test_history_of_nothing(spark):
+    good = silver(spark, []).withColumns({"n": F.lit(1), "upto": F.lit(1), "last_reading_at": F.col("event_timestamp")})
+    assert episode_history(good, "n", "upto", 0, lambda n: at("2024-03-02")).count() == 0
