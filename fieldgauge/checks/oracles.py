@@ -227,20 +227,20 @@ def _increments() -> str:
     return chain + "\n" + " UNION ALL BY NAME ".join(selects)
 
 
-def _episodes() -> str:
-    """Runs of consecutive batches per alert key: each run is one episode."""
+def _episodes(step: int = 1) -> str:
+    """Runs of consecutive batches per alert key, one in ``step`` days: each run is one episode."""
     return chained(
         f"SELECT {listed(ALERT_COLUMNS)} FROM episode",
-        span="""
+        span=f"""
           SELECT CAST(min(event_timestamp) AS DATE) AS first_day,
-            CAST(CAST(max(event_timestamp) AS DATE) - CAST(min(event_timestamp) AS DATE) AS BIGINT) + 1 AS batches
+            CAST(CAST(max(event_timestamp) AS DATE) - CAST(min(event_timestamp) AS DATE) AS BIGINT) // {step} + 1 AS batches
           FROM silver""",
         batch="""
           SELECT unnest(range(1, batches + 1)) AS b, first_day FROM span""",
         state=f"""
-          SELECT b, CAST(first_day AS TIMESTAMP) + b * INTERVAL '1' DAY AS batch_now, silver.*,
+          SELECT b, CAST(first_day AS TIMESTAMP) + b * INTERVAL '{step}' DAY AS batch_now, silver.*,
             event_timestamp AS last_reading_at
-          FROM batch JOIN silver ON event_timestamp < CAST(first_day AS TIMESTAMP) + b * INTERVAL '1' DAY
+          FROM batch JOIN silver ON event_timestamp < CAST(first_day AS TIMESTAMP) + b * INTERVAL '{step}' DAY
           QUALIFY row_number() OVER (PARTITION BY b, farm_id, zone_id {_LATEST}) = 1""",
         seen=f"""
           SELECT *, farm_id || '|' || zone_id || '|' || alert_type AS alert_key FROM (
@@ -249,14 +249,14 @@ def _episodes() -> str:
           SELECT *, b - row_number() OVER (PARTITION BY alert_key ORDER BY b) AS island FROM seen""",
         ends="""
           SELECT alert_key, island, min(b) AS first_b, max(b) AS last_b FROM grouped GROUP BY ALL""",
-        episode="""
+        episode=f"""
           SELECT f.farm_id, f.zone_id, f.crop_type, f.location, f.state, f.alert_type,
             l.current_value, l.min_threshold, l.max_threshold, l.metric_status, l.severity, f.alert_key,
             sha256(f.alert_key || '|' || CAST(f.detected_at AS VARCHAR)) AS alert_id,
             f.detected_at AS first_detected_at, l.detected_at AS last_detected_at,
             CASE WHEN last_b = batches THEN 'ACTIVE' ELSE 'RESOLVED' END AS alert_status,
-            CASE WHEN last_b < batches THEN l.batch_now + INTERVAL '1' DAY END AS resolved_at,
-            CASE WHEN last_b < batches THEN l.batch_now + INTERVAL '1' DAY ELSE l.batch_now END AS gold_updated_at
+            CASE WHEN last_b < batches THEN l.batch_now + INTERVAL '{step}' DAY END AS resolved_at,
+            CASE WHEN last_b < batches THEN l.batch_now + INTERVAL '{step}' DAY ELSE l.batch_now END AS gold_updated_at
           FROM ends JOIN span ON true
           JOIN grouped f ON f.alert_key = ends.alert_key AND f.b = first_b
           JOIN grouped l ON l.alert_key = ends.alert_key AND l.b = last_b""",
@@ -379,6 +379,7 @@ ORACLES = {
     "alert_conditions": chained("SELECT * FROM cond ORDER BY farm_id, zone_id, alert_type"),
     "alert_identity": chained("SELECT * FROM alerts"),
     "active_alerts": chained("SELECT * FROM alerts WHERE alert_status = 'ACTIVE'"),
+    "alert_merges": _episodes(step=10),
     "alert_episodes": _episodes(),
     "kpi": chained("SELECT * FROM kpi"),
     "kpi_listing": chained("SELECT * FROM kpi"),

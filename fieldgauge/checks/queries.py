@@ -13,7 +13,7 @@ from fieldgauge.checks.fixtures import NOW, envelope, load, reference, telemetry
 from fieldgauge.config import EVENT_KEY, LIMITS, STATUS_COLUMNS, ZONE_KEYS
 from fieldgauge.functions import expressions as X
 from fieldgauge.operators import audit, listing, merge
-from fieldgauge.operators.alerts import current_alert_conditions, episode_history, open_alerts
+from fieldgauge.operators.alerts import alert_lifecycle, current_alert_conditions, episode_history, open_alerts
 from fieldgauge.operators.current import current_status
 from fieldgauge.operators.enrich import MATCHED, enrich, flag_matched
 from fieldgauge.operators.grouping import dedup_first, duplicate_keys, latest_per_key
@@ -326,6 +326,27 @@ def active_alerts(spark, sf_dir):
     return listing.active_alerts(open_alerts(_current(spark, sf_dir), now()))
 
 
+def _newest_by_day(spark: SparkSession, sf_dir: str):
+    """Newest reading per zone and day, staged, and the first and last day."""
+    newest = [F.desc(c) for c in ("event_timestamp", "eventhub_enqueued_time", "eventhub_offset")]
+    dated = _published(spark, sf_dir).withColumn("_day", F.to_date("event_timestamp")).filter("_day IS NOT NULL")
+    daily = cut_lineage(latest_per_key(dated, [*ZONE_KEYS, "_day"], newest))
+    return daily, *daily.agg(F.min("_day"), F.max("_day")).first()
+
+
+@registered
+def alert_merges(spark, sf_dir):
+    """One merge per ten days of data, each over the states at their end."""
+    daily, first, last = _newest_by_day(spark, sf_dir)
+    episodes = None
+    for batch in range(1, (last - first).days // 10 + 2):
+        end = F.date_add(F.lit(first), 10 * batch)
+        batch_now = end.cast("timestamp")
+        sightings = open_alerts(current_status(daily.filter(F.col("_day") < end).drop("_day"), batch_now), batch_now)
+        episodes = cut_lineage(sightings if episodes is None else alert_lifecycle(episodes, sightings, batch_now))
+    return episodes
+
+
 @registered
 def alert_episodes(spark, sf_dir):
     """What one merge per day of data leaves, each over the states at that day's end.
@@ -333,10 +354,7 @@ def alert_episodes(spark, sf_dir):
     Silver is reduced to the newest reading per zone and day; such a reading is its zone's state until the
     day of the next one.
     """
-    newest = [F.desc(c) for c in ("event_timestamp", "eventhub_enqueued_time", "eventhub_offset")]
-    dated = _published(spark, sf_dir).withColumn("_day", F.to_date("event_timestamp")).filter("_day IS NOT NULL")
-    daily = cut_lineage(latest_per_key(dated, [*ZONE_KEYS, "_day"], newest))
-    first, last = daily.agg(F.min("_day"), F.max("_day")).first()
+    daily, first, last = _newest_by_day(spark, sf_dir)
     batches = 0 if first is None else (last - first).days + 1
 
     def number(day: Column) -> Column:
