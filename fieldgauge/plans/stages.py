@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -18,8 +20,10 @@ from fieldgauge.operators.kpi import daily_kpi
 from fieldgauge.plans.silver import build_silver
 from fieldgauge.session import cut_lineage
 from fieldgauge.sources import tables as sinks
-from fieldgauge.sources.parts import delete
-from fieldgauge.sources.readers import read_reference_csv, table, table_exists
+from fieldgauge.sources.parts import delete, names_in, read_text, write_text
+from fieldgauge.sources.readers import read_path, read_reference_csv, table, table_exists
+
+STATUS = "alert_status"
 
 
 @dataclass(frozen=True)
@@ -68,18 +72,34 @@ def insert_unseen(df: DataFrame, name: str, path: str, keys: Sequence[str]) -> N
     sinks.append_rows(merge.unseen_rows_late(table(spark, name), df, keys, cut_lineage), name)
 
 
-def upsert(df: DataFrame, name: str, path: str, keys: Sequence[str]) -> None:
-    """Upsert into a table; doubled source keys that match a row are an error."""
+def upsert(df: DataFrame, name: str, path: str, keys: Sequence[str], by: str | None = None) -> None:
+    """Upsert into a table; doubled source keys that match a row are an error.
+
+    ``by``, one of the keys, partitions a new Parquet table; of such a table only the partitions that
+    ``df`` (a staged frame) touches are read and replaced. A repeat after a failure changes nothing
+    but what was not switched; rows with a NULL key are inserted again.
+    """
     spark = df.sparkSession
     if not table_exists(spark, name):
-        sinks.publish_snapshot(df, name, path)
+        if by is None:
+            sinks.publish_snapshot(df, name, path)
+        else:
+            sinks.create_partitioned(spark, df.schema, name, path, by)
+            sinks.publish_partitions(df, name, path, by)
         return
     if sinks.supports_merge(spark, name):
         sinks.merge_upsert_into(df, name, keys)
         return
     target = table(spark, name)
+    if by not in sinks.partition_columns(spark, name):
+        merge.assert_single_match(target, df, keys)
+        sinks.publish_snapshot(merge.merge_upsert(target, df, keys), name, path)
+        return
+    touched = [r[0] for r in df.select(by).distinct().collect()]
+    met = F.col(by).isin([v for v in touched if v is not None])
+    target = target.filter(met | F.col(by).isNull() if None in touched else met)
     merge.assert_single_match(target, df, keys)
-    sinks.publish_snapshot(merge.merge_upsert(target, df, keys), name, path)
+    sinks.publish_partitions(merge.merge_upsert(target, df, keys), name, path, by)
 
 
 def run_silver(spark: SparkSession, lake: Lake, now: Column | None = None, strict: bool = False) -> None:
@@ -105,22 +125,57 @@ def run_alerts(spark: SparkSession, lake: Lake, now: Column | None = None) -> No
     now = processing_time(spark) if now is None else now
     sightings = cut_lineage(open_alerts(table(spark, lake.current), now))
     assert_unique(sightings, [ALERT_KEY], "the current alert conditions")
+    merge_alerts(spark, lake, sightings, now)
+
+
+def merge_alerts(spark: SparkSession, lake: Lake, sightings: DataFrame, now: Column) -> None:
+    """Merge staged sightings into the episodes.
+
+    On Parquet open episodes are a partition that each run replaces, and resolved ones another that
+    runs only add to. What a run has decided is written down before either changes; a run that ends
+    between the two is ended by the next one, so that no episode is lost or resolved twice.
+    """
     if not table_exists(spark, lake.alerts):
-        sinks.publish_snapshot(sightings, lake.alerts, lake.path(lake.alerts))
-        return
+        sinks.create_partitioned(spark, sightings.schema, lake.alerts, lake.path(lake.alerts), STATUS)
     if sinks.supports_merge(spark, lake.alerts):
         sinks.merge_episodes_into(
-            sightings, lake.alerts, ALERT_KEY, "alert_status", ACTIVE, refreshed(now), closed(now)
+            sightings, lake.alerts, ALERT_KEY, STATUS, ACTIVE, refreshed(now), closed(now)
         )
         return
-    merged = alert_lifecycle(table(spark, lake.alerts), sightings, now)
-    sinks.publish_snapshot(merged, lake.alerts, lake.path(lake.alerts))
+    if STATUS not in sinks.partition_columns(spark, lake.alerts):
+        merged = alert_lifecycle(table(spark, lake.alerts), sightings, now)
+        sinks.publish_snapshot(merged, lake.alerts, lake.path(lake.alerts))
+        return
+    base, run = lake.path(lake.alerts), uuid.uuid4().hex
+    if sinks.PENDING in names_in(spark, base):
+        switch_episodes(spark, lake, repeated=True)
+    still_open = table(spark, lake.alerts).filter(F.col(STATUS) == ACTIVE)
+    merged = cut_lineage(alert_lifecycle(still_open, sightings, now))
+    merged.filter(F.col(STATUS) == ACTIVE).drop(STATUS).write.parquet(f"{base}/open-{run}")
+    merged.filter(F.col(STATUS) != ACTIVE).write.parquet(f"{base}/closed-{run}")
+    write_text(spark, f"{base}/{sinks.PENDING}", json.dumps({"run": run}))
+    switch_episodes(spark, lake)
+
+
+def switch_episodes(spark: SparkSession, lake: Lake, repeated: bool = False) -> None:
+    """Put in force what a run has decided. A repeat looks up which resolved episodes are there already."""
+    base = lake.path(lake.alerts)
+    run = json.loads(read_text(spark, f"{base}/{sinks.PENDING}"))["run"]
+    ended = read_path(spark, f"{base}/closed-{run}")
+    if repeated:
+        spark.catalog.refreshTable(lake.alerts)
+        there = table(spark, lake.alerts).filter(F.col(STATUS) != ACTIVE).alias("there")
+        same = [F.col(f"ended.{c}").eqNullSafe(F.col(f"there.{c}")) for c in ("alert_id", "resolved_at")]
+        ended = cut_lineage(ended.alias("ended").join(there, same, "left_anti"))
+    sinks.append_rows(ended, lake.alerts)
+    sinks.point_partitions(spark, lake.alerts, {f"{STATUS}={ACTIVE}": f"{base}/open-{run}"})
+    delete(spark, f"{base}/{sinks.PENDING}")
 
 
 def run_kpi(spark: SparkSession, lake: Lake, now: Column | None = None, drop_null_date: bool = False) -> None:
     now = processing_time(spark) if now is None else now
     days = cut_lineage(daily_kpi(table(spark, lake.silver), now, drop_null_date))
-    upsert(days, lake.kpi, lake.path(lake.kpi), KPI_KEYS)
+    upsert(days, lake.kpi, lake.path(lake.kpi), KPI_KEYS, by=KPI_KEYS[0])
 
 
 def run_all(spark: SparkSession, lake: Lake, now: Column | None = None) -> None:

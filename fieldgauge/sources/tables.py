@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fieldgauge.operators.merge import key_condition
+from fieldgauge.sources.parts import delete, names_in
 from fieldgauge.sources.readers import table_exists
 
 # Formats whose tables take row-level changes through Spark's MERGE.
 MERGE_FORMATS = ("delta", "iceberg")
+# What a run has decided and not yet switched, in the folder of the table.
+PENDING = "pending.json"
 
 
 def overwrite_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> None:
@@ -62,19 +67,74 @@ def publish_snapshot(df: DataFrame, name: str, base: str, fmt: str = "parquet")
     return path
 
 
+def create_partitioned(spark: SparkSession, schema: StructType, name: str, base: str, column: str) -> None:
+    """An empty Parquet table with a partition for each value of ``column``, which becomes its last column."""
+    fields = sorted(schema.fields, key=lambda f: f.name == column)
+    listed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({listed}) USING parquet "
+        f"PARTITIONED BY (`{column}`) LOCATION '{base.rstrip('/')}/rows'"
+    )
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def _spec(partition: str) -> str:
+    """``column=value``, as folders and the catalog write it, as SQL."""
+    column, _, value = partition.partition("=")
+    if value == "__HIVE_DEFAULT_PARTITION__":
+        return f"`{column}` = NULL"
+    text = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"`{column}` = '{text}'"
+
+
+def point_partitions(spark: SparkSession, name: str, folders: Mapping[str, str]) -> None:
+    """Point partitions (``column=value``) at folders; each one switches at once, all others stay."""
+    known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    added = [f"PARTITION ({_spec(p)}) LOCATION '{path}'" for p, path in folders.items() if p not in known]
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD {' '.join(added)}")
+    for partition, path in folders.items():
+        if partition in known:
+            spark.sql(f"ALTER TABLE {name} PARTITION ({_spec(partition)}) SET LOCATION '{path}'")
+    spark.catalog.refreshTable(name)
+
+
+def publish_partitions(df: DataFrame, name: str, base: str, column: str) -> list[str]:
+    """Replace the partitions that occur in ``df``; files of others are neither read nor written.
+
+    ``df`` may read what it replaces: rows are written whole to a new folder before any partition is
+    pointed there. A run that ends in between leaves every partition either old or new, and a repeat
+    puts the rest right. Old folders stay until ``drop_superseded``.
+    """
+    spark = df.sparkSession
+    folder = f"{base.rstrip('/')}/data-{uuid.uuid4().hex}"
+    df.hint("rebalance", column).write.partitionBy(column).parquet(folder)
+    written = [n for n in names_in(spark, folder) if n.startswith(f"{column}=")]
+    point_partitions(spark, name, {n: f"{folder}/{n}" for n in written})
+    return written
+
+
 def drop_superseded(spark: SparkSession, name: str, base: str) -> int:
-    """Delete the snapshots below ``base`` that the table no longer points at; how many there were.
+    """Delete the folders below ``base`` that the table no longer points at; how many there were.
 
-    For the owner to call when no reader of an older snapshot is left.
+    For the owner to call when no reader of an older state and no run of a stage is left.
     """
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
-    current = described["data_type"].rstrip("/").rsplit("/", 1)[-1]
-    folder = spark._jvm.org.apache.hadoop.fs.Path(base)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    snapshots = [status.getPath() for status in files.listStatus(folder)]
-    old = [p for p in snapshots if p.getName().startswith("snapshot-") and p.getName() != current]
-    for path in old:
-        files.delete(path, True)
+    base = base.rstrip("/")
+    if partition_columns(spark, name):
+        files = [path.rsplit(f"{base}/", 1)[-1] for path in spark.table(name).inputFiles()]
+        used = {path.split("/", 1)[0] for path in files}
+    else:
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()
+        used = {described["data_type"].rstrip("/").rsplit("/", 1)[-1]}
+    names = names_in(spark, base)
+    if PENDING in names:
+        raise RuntimeError(f"a run of {name} has not ended; the next one ends it")
+    old = [n for n in names if n.startswith(("snapshot-", "data-", "open-", "closed-")) and n not in used]
+    for folder in old:
+        delete(spark, f"{base}/{folder}")
     return len(old)
 
 

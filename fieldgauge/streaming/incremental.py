@@ -108,7 +108,8 @@ def kpi_increment(spark: SparkSession, lake: Lake, now: Column, drop_null_date:
     if days is not None:
         same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in KPI_KEYS]
         touched = touched.join(bounded_broadcast(days), same, "left_semi")
-    upsert(kpi_of_partials(touched, now, drop_null_date), lake.kpi, lake.path(lake.kpi), KPI_KEYS)
+    days = cut_lineage(kpi_of_partials(touched, now, drop_null_date))
+    upsert(days, lake.kpi, lake.path(lake.kpi), KPI_KEYS, by=KPI_KEYS[0])
     kept.publish(written, state.last())
 
 
