@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 
 from fieldgauge.llm.staging import cut_lineage, small_side, without
 
-SALTS = 64
+# At least so many groups are swept, and more as rows grow.
+LEAST_SALTS = 64
+ROWS_PER_SALT = 250_000
 A_TO_Z = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 OUTPUT = ("host", "path", "rule", "verdict")
 
@@ -68,14 +70,21 @@ def nested_rules(rules: DataFrame) -> DataFrame:
     return cut_lineage(stacked)
 
 
+def salts_for(rows: int, rules: int) -> int:
+    """Groups of about ``ROWS_PER_SALT`` rows, but no more than let rules, which each group repeats, outnumber rows."""
+    return max(LEAST_SALTS, min(-(-rows // ROWS_PER_SALT), rows // max(rules, 1)))
+
+
 def judge_urls(
-    urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", salts: int = SALTS
+    urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow", salts: int | None = None
 ) -> DataFrame:
     """Every row of ``urls`` with ``host``, ``path``, the longest fitting ``rule`` and its ``verdict``.
 
     ``rules`` has the columns host, path and verdict. A rule fits its host and all subdomains if the
     url's path starts with the rule's. Rows are dealt by a salted hash, so a host that holds a third
-    of all rows is spread; rules are repeated once per salt.
+    of all rows is spread; rules are repeated once per salt, and salts grow with the rows
+    (``salts_for``) unless given. Rows are numbered once, in a staged table: a lost executor cannot
+    number them anew between their two uses.
 
     * A NULL url, or one without ``://``, has an empty host and path, and no rule: the default counts.
     * Repeated rows stay. Rules with an empty host are ignored; no rules, or no urls, is no error.
@@ -83,13 +92,15 @@ def judge_urls(
     * Input columns named like an added one are replaced.
     """
     kept = without(urls, *OUTPUT)
-    packed = kept.select(
+    numbered = cut_lineage(kept.select(
         F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row"),
-        host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"),
+        host_of(F.col(f"`{url}`")).alias("host"), path_of(F.col(f"`{url}`")).alias("path"),
         F.monotonically_increasing_id().alias("id"),
-    ).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
-
+    ))
     stacks = nested_rules(rules)
+    salts = salts_for(numbered.count(), stacks.count()) if salts is None else salts
+    packed = numbered.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+
     hosts = cut_lineage(stacks.select(F.explode("stack.r_host").alias("with_rules")).distinct())
     # Each url once without a key, so that none is lost, and once for each domain that has rules.
     keyed = packed.select("*", F.explode(parents(F.col("host"))).alias("of_host"))

@@ -70,3 +70,16 @@ def test_no_python_in_the_plan(spark, salts):
     df = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
     plan = url_filter.judge_urls(df, spark.createDataFrame(list(RULES), RULE), salts=salts)
     assert not re.search("Python|Pandas|Arrow", plan._jdf.queryExecution().executedPlan().toString())
+
+
+def test_salts_grow_with_rows_and_rules_stay_fewer():
+    assert url_filter.salts_for(0, 4) == url_filter.salts_for(10**6, 4) == 64
+    assert url_filter.salts_for(10**9, 4) == 4_000
+    assert url_filter.salts_for(10**9, 10**6) == 1_000
+
+
+def test_shuffled_input_keeps_its_rows(spark):
+    df = spark.range(500).selectExpr("id AS page_id", "concat('http://h', id % 7, '.net/', id) AS url").repartition(5)
+    got = url_filter.judge_urls(df, spark.createDataFrame(list(RULES), RULE)).collect()
+    assert sorted(r["page_id"] for r in got) == list(range(500))
+    assert all(r["url"].endswith(r["host"] + r["path"]) and r["rule"] == "net/" for r in got)
