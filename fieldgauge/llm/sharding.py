@@ -15,9 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldgauge.llm.staging import without
+from fieldgauge.llm.staging import cut_lineage, small_side, without
 
-BUCKET_BYTES = 32 * 2**20
+# A bucket is one task's memory: it grows with the input, so that reducers stay some 10^5, up to a bound.
+BUCKET_BYTES = (32 * 2**20, 256 * 2**20)
+MOST_BUCKETS = 100_000
 RECORD_OVERHEAD = 8
 
 
@@ -37,22 +39,49 @@ def shard_of(key: str, shards: int, seed: int) -> Column:
     return F.coalesce(*wins, F.lit(0))
 
 
+def _hashable(field: T.StructField) -> Column:
+    """The column, or its JSON text if it holds a map, which has no hash."""
+    column = F.col(f"`{field.name}`")
+    return F.to_json(F.struct(column)) if "map<" in field.dataType.simpleString() else column
+
+
+def bucket_bytes_for(total: int) -> int:
+    least, most = BUCKET_BYTES
+    return min(most, max(least, total // MOST_BUCKETS))
+
+
 def scatter(
     docs: DataFrame, shards: int = 24, seed: int = 17, key: str = "doc_id", text: str = "text",
-    bucket_bytes: int = BUCKET_BYTES,
+    bucket_bytes: int | None = None,
 ) -> tuple[DataFrame, list[tuple[int, int]]]:
-    """The records with ``shard`` and ``_bucket``, and ``(shard, first bucket)`` for each shard."""
-    hashed = [F.col(f"`{c}`") for c in docs.columns]
-    placed = docs.withColumn("shard", shard_of(key, shards, seed))
-    weights = {r["shard"]: r["n"] for r in placed.groupBy("shard").agg(F.sum(record_size(text)).alias("n")).collect()}
-    counts = [max(1, -(-weights.get(s, 0) // bucket_bytes)) for s in range(shards)]
+    """The records with ``shard`` and ``_bucket``, and ``(shard, first bucket)`` for each shard.
+
+    The bucket is a hash of the whole record. Repeats of one record that would fill an eighth of a
+    bucket are numbered in a staged table, and the number takes part in their hash.
+    """
+    hashed = [_hashable(f) for f in docs.schema.fields]
+    placed = docs.withColumn("shard", shard_of(key, shards, seed)).withColumn(
+        "_order", F.xxhash64(F.lit(seed), F.lit("order"), *hashed)
+    )
+    groups = cut_lineage(
+        placed.groupBy("shard", "_order").agg(F.sum(record_size(text)).alias("bytes"), F.count("*").alias("rows"))
+    )
+    weights = {r["shard"]: r["n"] for r in groups.groupBy("shard").agg(F.sum("bytes").alias("n")).collect()}
+    limit = bucket_bytes_for(sum(weights.values())) if bucket_bytes is None else bucket_bytes
+    counts = [max(1, -(-weights.get(s, 0) // limit)) for s in range(shards)]
     firsts = np.concatenate([[0], np.cumsum(counts)]).astype(int).tolist()
     first = F.element_at(F.array(*[F.lit(x) for x in firsts]), F.col("shard") + 1)
     many = F.element_at(F.array(*[F.lit(x) for x in counts]), F.col("shard") + 1)
-    order = F.xxhash64(F.lit(seed), F.lit("order"), *hashed)
-    within = F.pmod(F.xxhash64(F.lit(seed), F.lit("bucket"), *hashed), many).cast("int")
-    scattered = placed.withColumn("_order", order).withColumn("_bucket", first + within)
-    return scattered, list(zip(range(shards), firsts))
+    repeats = cut_lineage(groups.filter((F.col("rows") > 1) & (F.col("bytes") * 8 > limit)).select("_order").distinct())
+    if not repeats.isEmpty():
+        few = small_side(repeats)
+        numbered = cut_lineage(
+            placed.join(few, "_order", "left_semi").withColumn("_number", F.monotonically_increasing_id())
+        )
+        dealt = numbered.withColumn("_order", F.xxhash64("_order", "_number")).drop("_number")
+        placed = placed.join(few, "_order", "left_anti").select(*placed.columns).unionByName(dealt)
+    within = F.pmod(F.xxhash64(F.lit(seed), F.lit("bucket"), "_order"), many).cast("int")
+    return placed.withColumn("_bucket", first + within), list(zip(range(shards), firsts))
 
 
 def _permute(seed: int, offsets) -> callable:
@@ -79,15 +108,18 @@ def _permute(seed: int, offsets) -> callable:
 
 def shard_records(
     docs: DataFrame, shards: int = 24, seed: int = 17, key: str = "doc_id", text: str = "text",
-    bucket_bytes: int = BUCKET_BYTES,
+    bucket_bytes: int | None = None,
 ) -> DataFrame:
     """All records with ``shard``, ``slot`` (gapless from 0 in each shard) and ``grown_shard``.
 
     * The shard depends on the key and the number of shards alone; ``grown_shard`` is the key's shard
       with one shard more. NULL keys share one shard.
     * Buckets are sized by the bytes of their shard, so a shard that holds a third of all records has
-      more buckets, not larger ones. Rows equal in every column share a bucket.
-    * What reaches the driver, and the tasks, is one number per bucket (32 MB of records).
+      more buckets, not larger ones. Rows equal in every column are dealt over the shard's buckets
+      once they would fill an eighth of one.
+    * What reaches the driver, and the tasks, is one number per bucket (32 MB of records, and more from
+      3 TB on, up to 256 MB, unless ``bucket_bytes`` is given).
+    * Columns that hold maps take part as their JSON text.
     * A NULL or empty text is a record like others. Columns named like an added one are replaced.
     """
     kept = without(docs, "shard", "slot", "grown_shard", "_bucket", "_order")

@@ -72,3 +72,23 @@ def test_size(documents, text):
     (row,) = documents([(1, text, None, None)]).select(sharding.record_size("text").alias("n"), F.crc32(F.coalesce("text", F.lit(""))).alias("c")).collect()
     raw = (text or "").encode()
     assert (row["n"], row["c"]) == (len(raw) + 8, zlib.crc32(raw))
+
+
+def test_repeats_of_one_record_are_dealt_over_buckets(documents):
+    docs = documents([(7, "same " * 20, "en", "s")] * 900 + [(i, "other", "en", "s") for i in range(100, 400)])
+    scattered, _ = sharding.scatter(docs, shards=2, bucket_bytes=4_000)
+    sizes = {r["_bucket"]: r["n"] for r in scattered.groupBy("_bucket").agg(F.sum(sharding.record_size("text")).alias("n")).collect()}
+    assert len(sizes) > 20 and max(sizes.values()) < 3 * 4_000
+    rows = shard(docs, shards=2, bucket_bytes=4_000)
+    assert len(rows) == 1_200 and gapless(rows) and sum(r["doc_id"] == 7 for r in rows) == 900
+    assert len({r["shard"] for r in rows if r["doc_id"] == 7}) == 1
+
+
+def test_columns_with_maps(spark):
+    docs = spark.sql("SELECT id AS doc_id, string(id) AS text, map('k', id) AS m, array(map(1, 'v')) AS a FROM range(50)")
+    rows = shard(docs, shards=3)
+    assert len(rows) == 50 and gapless(rows) and all(r["m"] == {"k": r["doc_id"]} for r in rows)
+
+
+def test_buckets_grow_with_the_input():
+    assert sharding.bucket_bytes_for(10**9) == 32 * 2**20 and sharding.bucket_bytes_for(10**14) == 256 * 2**20
