@@ -21,6 +21,7 @@ from fieldgauge.llm.staging import cut_lineage, global_rank, small_side, without
 WORD = r"[^\x20\x09-\x0D]+"
 DRAW_BITS = 52
 ROTATIONS = 32
+ADDED = ("size", "source_size", "target", "rate", "copies")
 
 
 def word_count(text: str) -> Column:
@@ -82,17 +83,29 @@ def mix_plan(
       of another source is emitted at that source's rate and costs nothing.
     * Input columns named like one of the added ones are replaced. An empty table stays empty.
     """
-    added = ("size", "source_size", "target", "rate", "copies")
-    kept = without(docs, *added)
-    sized = kept.withColumn("size", word_count(text)).withColumn("_draw", draw(seed, doc_id, text))
-    slim = cut_lineage(sized.select(F.col(source).alias("source"), "size", "_draw"))
+    names = without(docs, *ADDED).columns
+    plan = _planned(_packed(docs, names, doc_id, text, source), weights, cap, seed)
+    return plan.select(*[F.col("_row").getField(c).alias(c) for c in names], *ADDED)
+
+
+def _packed(docs: DataFrame, names: Sequence[str], doc_id: str, text: str, source: str) -> DataFrame:
+    """The columns ``names`` as a struct, so that none of them meets one used here, and those that decide."""
+    told = {"_id": doc_id, "_text": text, "_of": source}
+    kept = [F.col(f"`{c}`") for c in names] or [F.lit(None).cast("int").alias("none")]
+    return docs.select(F.struct(*kept).alias("_row"), *[F.col(f"`{c}`").alias(k) for k, c in told.items()])
+
+
+def _planned(packed: DataFrame, weights: Sequence[float], cap: float, seed: str) -> DataFrame:
+    """``_row`` and the added columns."""
+    sized = packed.select("_row", "_of", word_count("_text").alias("size"), draw(seed, "_id", "_text").alias("_draw"))
+    slim = cut_lineage(sized.select(F.col("_of").alias("source"), "size", "_draw"))
     sizes = cut_lineage(slim.groupBy("source").agg(F.sum("size").alias("source_size")))
     targets = source_targets(sizes, weights, cap).withColumn(
         "rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     ).select(F.col("source").alias("_source"), "source_size", "target", "rate")
     settled = rotations(slim, cut_lineage(targets))
-    joined = sized.join(small_side(settled), F.col(source).eqNullSafe(F.col("_source")), "left")
-    return joined.withColumn("copies", copies(F.col("rotation"))).drop("_source", "_draw", "rotation")
+    joined = sized.join(small_side(settled), F.col("_of").eqNullSafe(F.col("_source")), "left")
+    return joined.withColumn("copies", copies(F.col("rotation"))).select("_row", *ADDED)
 
 
 def copies(rotation: Column) -> Column:
@@ -115,15 +128,11 @@ def rotations(slim: DataFrame, targets: DataFrame) -> DataFrame:
     return cut_lineage(found.select("_source", "source_size", "target", "rate", best["rotation"].alias("rotation")))
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """The mixed corpus: each row as often as ``mix_plan`` says, in the columns of ``docs``.
-
-    Rows travel packed, so columns named like the plan's come through unchanged.
-    """
-    names = {"_doc_id": doc_id, "_text": text, "_source_key": source}
-    packed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_packed"),
-        *[F.col(f"`{c}`").alias(k) for k, c in names.items()],
-    )
-    plan = mix_plan(packed, doc_id="_doc_id", text="_text", source="_source_key", **options)
-    return plan.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies")))).select("_packed.*")
+def mix(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source",
+    weights: Sequence[float] = (5, 2, 1), cap: float = 3, seed: str = "mix",
+) -> DataFrame:
+    """The mixed corpus: each row as often as ``mix_plan`` says, in the columns of ``docs``, whatever their names."""
+    plan = _planned(_packed(docs, docs.columns, doc_id, text, source), weights, cap, seed)
+    copied = plan.select("_row", F.explode(F.array_repeat(F.lit(0), F.col("copies"))))
+    return copied.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -66,3 +66,14 @@ def test_edges(spark, documents):
     clash = documents(rows(50)).withColumn("size", F.lit("mine")).withColumn("RATE", F.lit(7)).withColumn("copies", F.lit(9))
     assert set(mixing.mix_plan(clash).columns) == {"doc_id", "text", "lang", "source", "n_chars", "size", "source_size", "target", "rate", "copies"}
     assert mixing.mix(clash).select("size", "RATE").distinct().collect() == [("mine", 7)]
+
+
+def test_input_columns_named_like_those_used_inside(documents):
+    docs = documents(rows(90))
+    named = docs.selectExpr("*", "1 AS rotation", "2 AS _draw", "3 AS _row", "4 AS _source", "5 AS _of", "6 AS target")
+    plain = {r["doc_id"]: r["copies"] for r in mixing.mix_plan(docs).collect()}
+    got = mixing.mix_plan(named).collect()
+    assert {r["doc_id"]: r["copies"] for r in got} == plain
+    assert {(r["rotation"], r["_draw"], r["_row"], r["_source"], r["_of"]) for r in got} == {(1, 2, 3, 4, 5)}
+    mixed = mixing.mix(named)
+    assert mixed.columns == named.columns and mixed.count() == sum(plain.values())
