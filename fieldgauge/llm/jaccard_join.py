@@ -505,7 +505,11 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **opti
     """
     found = jaccard_components(docs, doc_id=doc_id, text=text, **options)
     named = cut_lineage(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct())
-    first = docs.join(small_side(named), F.col(doc_id) == F.col("_kept"), "left_semi")
-    once = first.withColumn("_print", F.xxhash64(text)).dropDuplicates([doc_id, "_print"]).drop("_print")
-    return once.unionByName(docs.filter(F.col(doc_id).isNull()))
-
+    # Rows travel packed: no column of theirs can meet one used here.
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.col(f"`{doc_id}`").alias("_id"), F.xxhash64(F.col(f"`{text}`")).alias("_print"),
+    )
+    once = packed.join(small_side(named), F.col("_id") == F.col("_kept"), "left_semi").dropDuplicates(["_id", "_print"])
+    kept = once.unionByName(packed.filter("_id IS NULL"))
+    return kept.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

@@ -152,3 +152,10 @@ def test_components(spark):
     assert {got[i] for i in [*range(51), 60]} == {0} and {got[i] for i in (100, 101, 103)} == {100}
     assert {got[300 + i] for i in range(40)} == {200}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_keep_one_with_columns_named_like_those_used_inside(documents):
+    docs = documents([(1, "a b c d e f", "en", "s"), (2, "a b c d e f", "en", "s"), (None, "x", "en", "s")])
+    named = docs.selectExpr("*", "1 AS _print", "2 AS _kept", "3 AS _id", "4 AS _row", "5 AS component_id")
+    kept = J.keep_one(named)
+    assert kept.columns == named.columns and sorted(map(str, (r["doc_id"] for r in kept.collect()))) == ["1", "None"]
