@@ -164,6 +164,15 @@ def envelope(telemetry_rows: DataFrame) -> DataFrame:
     )
 
 
+#: Row groups of delivered files: a reader can share one file among its tasks only by whole groups.
+DELIVERED_GROUP_BYTES = 256 * 2**10
+
+
+def deliver(rows: DataFrame, path: str) -> None:
+    """Add rows to a source folder, in files that many tasks can read."""
+    rows.write.mode("append").option("parquet.block.size", DELIVERED_GROUP_BYTES).parquet(path)
+
+
 def _sql_columns(columns: dict[str, str]) -> str:
     return ",\n  ".join(f"{text} AS {name}" for name, text in columns.items())
 

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldgauge.checks.fixtures import NOW, envelope, load, reference, telemetry
+from fieldgauge.checks.fixtures import NOW, deliver, envelope, load, reference, telemetry
 from fieldgauge.config import EVENT_KEY, LIMITS, STATUS_COLUMNS, ZONE_KEYS
 from fieldgauge.functions import expressions as X
 from fieldgauge.operators import audit, listing, merge
@@ -639,7 +639,7 @@ def _lake(spark) -> Lake:
 @registered
 def stream_ingest(spark, sf_dir):
     source, raw, checkpoint = (scratch_path(spark, n) for n in ("events", "bronze", "bronze-progress"))
-    envelope(telemetry(spark, sf_dir)).write.parquet(source)
+    deliver(envelope(telemetry(spark, sf_dir)), source)
     ingest(read_event_stream(spark, "parquet", path=source), raw, checkpoint, now())
     return read_path(spark, raw).drop("raw_payload")
 
@@ -656,7 +656,7 @@ def stream_restart(spark, sf_dir):
         ("third", None),
     ]:
         if part is not None:
-            part.write.mode("append").parquet(source)
+            deliver(part, source)
         query = ingest(read_event_stream(spark, "parquet", path=source), raw, checkpoint, now())
         in_table = read_path(spark, raw).agg(F.count("*").alias("rows_in_table")).first()[0]
         counts.append((run, rows_read(query), in_table))
@@ -667,7 +667,7 @@ def stream_restart(spark, sf_dir):
 def stream_backlog(spark, sf_dir):
     """A backlog of more batches than a query keeps reports of, one file each."""
     source, raw, checkpoint = (scratch_path(spark, n) for n in ("events", "bronze", "bronze-progress"))
-    envelope(telemetry(spark, sf_dir)).repartition(110, "offset").write.parquet(source)
+    deliver(envelope(telemetry(spark, sf_dir)).repartition(110, "offset"), source)
     arriving = read_event_stream(spark, "parquet", {"maxFilesPerTrigger": "1"}, path=source)
     run = ingest(arriving, raw, checkpoint, now())
     return spark.createDataFrame(

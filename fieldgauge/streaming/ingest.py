@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from fieldgauge.sources.readers import table_exists, to_bronze
@@ -15,6 +16,10 @@ RETAINED = "spark.sql.streaming.numRecentProgressUpdates"
 #: Reports that a running query keeps, and seconds between two looks at them.
 REPORTS_KEPT = 10_000
 POLL_SECONDS = 1.0
+OPEN_COST = "spark.sql.files.openCostInBytes"
+#: The smallest piece of a file that is a task of its own. With Spark's 4 MB a batch of one file is read and
+#: parsed by one core, as a batch is seldom large; bodies take far longer to parse than files to open.
+PIECE_BYTES = 512 * 2**10
 
 
 @dataclass
@@ -37,12 +42,24 @@ def _followed(query: StreamingQuery) -> IngestRun:
     return IngestRun(query, rows)
 
 
+@contextmanager
+def stream_settings(spark: SparkSession) -> Iterator[None]:
+    """Reports enough to count all batches, and files read in small pieces unless the session has its own size."""
+    conf = spark.conf
+    before = {name: conf.get(name, None) for name in (RETAINED, OPEN_COST)}
+    conf.set(RETAINED, str(max(REPORTS_KEPT, int(before[RETAINED] or 0))))
+    if before[OPEN_COST] is None:
+        conf.set(OPEN_COST, str(PIECE_BYTES))
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            conf.set(name, value) if value is not None else conf.unset(name)
+
+
 def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> IngestRun:
     """Append everything that is new since the checkpoint, then stop. Waits for the end."""
-    conf = df.sparkSession.conf
-    kept = conf.get(RETAINED, None)
-    conf.set(RETAINED, str(max(REPORTS_KEPT, int(kept or 0))))
-    try:
+    with stream_settings(df.sparkSession):  # a running query looks the reports up at each batch
         query = (
             df.writeStream.format(fmt)
             .outputMode("append")
@@ -51,8 +68,6 @@ def append_stream(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet
             .start(path)
         )
         return _followed(query)
-    finally:  # a running query looks the setting up at each batch
-        conf.set(RETAINED, kept) if kept is not None else conf.unset(RETAINED)
 
 
 def ingest(events: DataFrame, path: str, checkpoint: str, now: Column | None = None) -> IngestRun:
