@@ -15,6 +15,7 @@ from fieldgauge.operators import merge
 from fieldgauge.operators.alerts import alert_lifecycle, closed, open_alerts, refreshed
 from fieldgauge.operators.audit import validation_report
 from fieldgauge.operators.current import current_status
+from fieldgauge.operators.enrich import MATCHED
 from fieldgauge.operators.grouping import assert_unique
 from fieldgauge.operators.kpi import daily_kpi
 from fieldgauge.plans.silver import build_silver
@@ -102,6 +103,19 @@ def upsert(df: DataFrame, name: str, path: str, keys: Sequence[str], by: str | N
     sinks.publish_partitions(merge.merge_upsert(target, df, keys), name, path, by)
 
 
+def unpublished(spark: SparkSession, lake: Lake, graded: DataFrame) -> DataFrame:
+    """Graded rows without those that silver holds already, which a recompute would only write to drop them again.
+
+    Rows of unknown zones stay for quarantine, whatever silver holds; NULL ids match nothing. Graded rows lie
+    partitioned by their id, so only the ids of silver are shuffled.
+    """
+    if not table_exists(spark, lake.silver):
+        return graded
+    known = table(spark, lake.silver).select(*EVENT_KEY).distinct().withColumn("_known", F.lit(True))
+    marked = graded.join(known, list(EVENT_KEY), "left")
+    return marked.filter(F.col("_known").isNull() | ~F.col(MATCHED)).select(*graded.columns)
+
+
 def run_silver(spark: SparkSession, lake: Lake, now: Column | None = None, strict: bool = False) -> None:
     """Recompute silver from all raw rows and insert what is new.
 
@@ -109,7 +123,8 @@ def run_silver(spark: SparkSession, lake: Lake, now: Column | None = None, stric
     the tables once to remember them again.
     """
     now = processing_time(spark) if now is None else now
-    built = build_silver(table(spark, lake.bronze), table(spark, lake.master), now, cut_lineage, strict)
+    stage = lambda graded: cut_lineage(unpublished(spark, lake, graded))
+    built = build_silver(table(spark, lake.bronze), table(spark, lake.master), now, stage, strict)
     delete(spark, increments_path(lake))
     insert_unseen(built.published, lake.silver, lake.path(lake.silver), EVENT_KEY)
     insert_unseen(cut_lineage(built.quarantined), lake.invalid, lake.path(lake.invalid), OFFSET_KEYS)
