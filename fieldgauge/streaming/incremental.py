@@ -22,23 +22,23 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldgauge.config import DEVICE_KEYS, EVENT_KEY, KPI_KEYS, OFFSET_KEYS, ZONE_KEYS
+from fieldgauge.config import KPI_KEYS, OFFSET_KEYS, ZONE_KEYS
 from fieldgauge.functions import expressions as X
 from fieldgauge.operators.current import current_status
-from fieldgauge.operators.enrich import MATCHED, bounded_broadcast
+from fieldgauge.operators.enrich import bounded_broadcast
 from fieldgauge.operators.grouping import dedup_first, latest_per_key
 from fieldgauge.operators.kpi import kpi_of_partials, kpi_partials, merge_partials
 from fieldgauge.operators.quality import split_valid, validate
 from fieldgauge.operators.quarantine import quarantine
 from fieldgauge.operators.runs import as_runs, merge_runs
 from fieldgauge.operators.sequence import missing_packets
-from fieldgauge.plans.silver import graded_readings, publishable
+from fieldgauge.plans.silver import graded_readings
 from fieldgauge.plans.stages import Lake, processing_time, run_alerts, upsert
 from fieldgauge.session import cut_lineage
 from fieldgauge.sources.parts import PART
 from fieldgauge.sources.readers import table
 from fieldgauge.sources.schemas import BRONZE_SCHEMA
-from fieldgauge.streaming.state import ALL, LakeState, current_state, date_part, kpi_state, month_part, parts_of
+from fieldgauge.streaming.state import ALL, LakeState, current_state, kpi_state, month_part, parts_of
 
 
 def silver_increment(spark: SparkSession, lake: Lake, batch: DataFrame, now: Column, strict: bool = False) -> None:
@@ -48,18 +48,14 @@ def silver_increment(spark: SparkSession, lake: Lake, batch: DataFrame, now: Col
     valid, invalid = split_valid(validate(batch, strict=strict))
     arrived = cut_lineage(dedup_first(valid).select(*BRONZE_SCHEMA.names))
     fresh = state.unseen_events(arrived)
-    if fresh is not arrived:
-        fresh = cut_lineage(fresh)
 
     numbered = state.with_previous(fresh, state.ready(master))
     timed = numbered.withColumn("event_timestamp", X.parse_event_time("timestamp"))
-    graded = cut_lineage(graded_readings(missing_packets(timed), master))
-    waits = F.when(~F.col(MATCHED), F.struct(*BRONZE_SCHEMA.names))
+    stamped = graded_readings(missing_packets(timed), master).withColumn("silver_processed_at", now)
+    graded = state.stage("graded", stamped)
     partition, offset = OFFSET_KEYS
     number = state.commit(
-        published=publishable(graded, now),
         rejects=state.unseen_offsets(quarantine(invalid, graded, now), batch),
-        taken=graded.select(*EVENT_KEY, *DEVICE_KEYS, "seq_num", date_part("event_timestamp").alias(PART), waits.alias("raw")),
         offsets=merge_runs(as_runs(batch, [partition], offset), [partition]),
     )
     state.apply(number)

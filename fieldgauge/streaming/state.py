@@ -24,7 +24,7 @@ from pyspark.sql.types import StructType
 
 from fieldgauge.config import DEVICE_KEYS, EVENT_KEY, MASTER_DATA_NOT_FOUND, OFFSET_KEYS, ZONE_KEYS
 from fieldgauge.functions import expressions as X
-from fieldgauge.operators.enrich import bounded_broadcast
+from fieldgauge.operators.enrich import MATCHED, bounded_broadcast
 from fieldgauge.operators.grouping import first_by, latest_per_key
 from fieldgauge.operators.kpi import kpi_partials
 from fieldgauge.operators.quality import ERROR
@@ -35,7 +35,7 @@ from fieldgauge.session import cut_lineage
 from fieldgauge.sources import tables as sinks
 from fieldgauge.sources.parts import PART, Parts, delete, names_in, read_text, write_text
 from fieldgauge.sources.readers import parse_json, table, table_exists
-from fieldgauge.sources.schemas import BRONZE_SCHEMA, LINEAGE_COLUMNS
+from fieldgauge.sources.schemas import BRONZE_SCHEMA, LINEAGE_COLUMNS, SILVER_COLUMNS
 
 #: Numbers and offsets in a part, as powers of two.
 NUMBER_BITS, OFFSET_BITS = 14, 20
@@ -71,6 +71,8 @@ class LakeState:
         self.tops = self._parts("tops", _fields(*DEVICE_KEYS).add("block", "string").add("hi", "long"))
         self.offsets = self._parts("offsets", runs(OFFSET_KEYS[0]))
         self.waiting = self._parts("waiting", BRONZE_SCHEMA)
+        self._folder: str | None = None
+        self._schemas: dict[str, str] = {}
 
     def _parts(self, name: str, schema) -> Parts:
         return Parts(self.spark, f"{self.base}/{name}", schema)
@@ -85,22 +87,39 @@ class LakeState:
     def last(self) -> int:
         return max(self.entries(), default=0)
 
+    def stage(self, name: str, frame: DataFrame) -> DataFrame:
+        """Write rows of the slice that is being made where its entry will name them, and read them back."""
+        if self._folder is None:
+            self._folder = f"{self.base}/rows/{self.last() + 1}-{uuid.uuid4().hex}"
+        path = f"{self._folder}/{name}"
+        frame.write.parquet(path)
+        self._schemas[name] = frame.schema.json()
+        return self.spark.read.schema(frame.schema).parquet(path)
+
     def commit(self, **frames: DataFrame) -> int:
-        """Stage the rows of a slice, then enter it. Its number."""
+        """Stage what is left of the rows of a slice, then enter it. Its number."""
         number = self.last() + 1
-        folder = f"{self.base}/rows/{number}-{uuid.uuid4().hex}"
         for name, frame in frames.items():
-            frame.write.parquet(f"{folder}/{name}")
-        schemas = {name: frame.schema.json() for name, frame in frames.items()}
-        write_text(self.spark, f"{self.base}/slices/slice-{number:012d}.json", json.dumps({"folder": folder, "schemas": schemas}))
+            self.stage(name, frame)
+        entry = {"folder": self._folder, "schemas": self._schemas}
+        write_text(self.spark, f"{self.base}/slices/slice-{number:012d}.json", json.dumps(entry))
+        self._folder, self._schemas = None, {}
         return number
 
     def rows(self, number: int) -> dict[str, DataFrame]:
+        """Frames of a slice. Published rows and what is taken from them are views of the graded ones, which are wide."""
         entry = json.loads(read_text(self.spark, f"{self.base}/slices/slice-{number:012d}.json"))
-        return {
+        frames = {
             name: self.spark.read.schema(StructType.fromJson(json.loads(schema))).parquet(f"{entry['folder']}/{name}")
             for name, schema in entry["schemas"].items()
         }
+        if (graded := frames.pop("graded", None)) is not None:
+            waits = F.when(~F.col(MATCHED), F.struct(*BRONZE_SCHEMA.names))
+            frames["published"] = graded.filter(F.col(MATCHED)).select(*SILVER_COLUMNS)
+            frames["taken"] = graded.select(
+                *EVENT_KEY, *DEVICE_KEYS, "seq_num", date_part("event_timestamp").alias(PART), waits.alias("raw")
+            )
+        return frames
 
     def published_after(self, applied: int) -> DataFrame | None:
         """Silver rows of the slices after ``applied``; None if there is none."""
@@ -209,15 +228,16 @@ class LakeState:
         self.blooms.replace(bloom_filters(ids, sizes), number, notes=sizes)
 
     def unseen_events(self, arrived: DataFrame) -> DataFrame:
-        """Rows of a staged frame whose id was never taken before."""
+        """Rows of a staged frame whose id was never taken before. Only the known ids are staged, not the rows."""
         sizes = (manifest := self.blooms.manifest()) and manifest.notes
         if not sizes:
             return arrived
-        hits = bloom_hits(arrived.select(*EVENT_KEY), self.blooms.read(), sizes)
+        hits = cut_lineage(bloom_hits(arrived.select(*EVENT_KEY), self.blooms.read(), sizes))
         opened = parts_of(hits, F.col(PART))
         if not opened:
             return arrived
         known = bounded_broadcast(hits).join(self.ids.read(opened), [*EVENT_KEY, PART], "left_semi").select(*EVENT_KEY)
+        known = bounded_broadcast(cut_lineage(known))
         return arrived.join(known, list(EVENT_KEY), "left_anti").select(*arrived.columns)
 
     # Numbers
